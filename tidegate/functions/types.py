@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidegate.functions.text import strip
+from tidegate.functions.text import WHITE_SPACE, strip
 
 # Target type of each source type that needs no precision or scale.
 PLAIN_TYPES = {
@@ -35,18 +35,23 @@ BIGNUMERIC_DIGITS, BIGNUMERIC_SCALE = 76, 38
 SPARK_DIGITS = 38
 
 INTEGER_TEXT = r"\A[+-]?[0-9]+\z"
+PADDED_INTEGER_TEXT = rf"\A{WHITE_SPACE}*[+-]?[0-9]+{WHITE_SPACE}*\z"
+BLANK_TEXT = rf"\A{WHITE_SPACE}*\z"
 
 
 def parse_int(text: Column) -> Column:
-    """The integer written in ``text``; NULL when it is blank or anything else."""
-    digits = strip(text)
-    return F.when(digits.rlike(INTEGER_TEXT), digits.try_cast("bigint"))
+    """The integer written in ``text``; NULL when it is blank or anything else.
+
+    The pattern comes first: a cast that fails costs far more than one that succeeds.
+    """
+    return F.when(text.rlike(INTEGER_TEXT), text.try_cast("bigint")).when(
+        text.rlike(PADDED_INTEGER_TEXT), strip(text).try_cast("bigint")
+    )
 
 
-def is_broken_int(text: Column) -> Column:
-    """True when ``text`` holds something that is not an integer."""
-    digits = F.coalesce(strip(text), F.lit(""))
-    return (digits != "") & ~digits.rlike(INTEGER_TEXT)
+def is_broken_int(text: Column, parsed: Column) -> Column:
+    """True when ``text`` is not blank and ``parsed``, its ``parse_int``, found no integer."""
+    return F.coalesce(parsed.isNull() & (text != "") & ~text.rlike(BLANK_TEXT), F.lit(False))
 
 
 def base_type(source_type: Column) -> Column:

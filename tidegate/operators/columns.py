@@ -39,22 +39,27 @@ def type_columns(
     One narrow pass. The parsed numbers get a select of their own so that the optimizer computes
     them once instead of copying them into every branch.
     """
+    numbers = {"_p": "data_precision", "_s": "data_scale", "_n": "char_length"}
     parsed = records.select(
         "*",
         types.base_type(F.col("data_type")).alias("_base"),
-        types.parse_int(F.col("data_precision")).alias("_p"),
-        types.parse_int(F.col("data_scale")).alias("_s"),
-        types.parse_int(F.col("char_length")).alias("_n"),
-        (types.is_broken_int(F.col("data_precision")) | types.is_broken_int(F.col("data_scale"))).alias("_bad"),
-        types.is_broken_int(F.col("char_length")).alias("_bad_n"),
+        *[types.parse_int(F.col(field)).alias(f"{name}_value") for name, field in numbers.items()],
+    )
+    broken = {name: types.is_broken_int(F.col(field), F.col(f"{name}_value")) for name, field in numbers.items()}
+    judged = parsed.select(
+        *records.columns,
+        "_base",
+        *[f"{name}_value" for name in numbers],
+        (broken["_p"] | broken["_s"]).alias("_bad"),
+        broken["_n"].alias("_bad_n"),
     )
     # A broken precision or scale voids both; for the written form a broken length voids all three.
-    guarded = parsed.select(
+    guarded = judged.select(
         *records.columns,
         "_base",
-        F.when(~F.col("_bad"), F.col("_p")).alias("_p"),
-        F.when(~F.col("_bad"), F.col("_s")).alias("_s"),
-        F.when(~F.col("_bad") & ~F.col("_bad_n"), F.col("_n")).alias("_n"),
+        F.when(~F.col("_bad"), F.col("_p_value")).alias("_p"),
+        F.when(~F.col("_bad"), F.col("_s_value")).alias("_s"),
+        F.when(~F.col("_bad"), F.col("_n_value")).alias("_n"),
         "_bad_n",
     ).withColumn("target_type", types.target_type(F.col("_base"), F.col("_p"), F.col("_s")))
     written = types.type_text(
@@ -131,8 +136,8 @@ def fanout_report(records: DataFrame) -> DataFrame:
 
 def column_definition(column_name: Column, type_text: Column, nullable: Column, comment: Column) -> Column:
     """``name TYPE[ NOT NULL][ OPTIONS(description="...")]``; NOT NULL needs exactly 'N'."""
-    said = text.description(comment)
-    option = F.concat(F.lit('OPTIONS(description="'), text.escape_description(said), F.lit('")'))
+    said = F.nullif(text.escape_description(comment), F.lit(""))
+    option = F.concat(F.lit('OPTIONS(description="'), said, F.lit('")'))
     return F.concat_ws(
         " ", names.quote_name(column_name), type_text, F.when(nullable == "N", "NOT NULL"), option
     )
@@ -189,7 +194,8 @@ def first_partition_column() -> Column:
 
 def partition_clauses(typed: DataFrame) -> DataFrame:
     """Per table with a flagged column: that column, its target type and the clause, if any."""
-    first = typed.groupBy(*TABLE_KEY).agg(first_partition_column().alias("_first"))
+    flagged = typed.filter(is_flagged(F.col("partition_yn")))
+    first = flagged.groupBy(*TABLE_KEY).agg(first_partition_column().alias("_first"))
     return first.filter(F.col("_first").isNotNull()).select(
         *TABLE_KEY,
         F.col("_first.column_name").alias("partition_column"),

@@ -23,14 +23,15 @@ def _unpivot(one_row: DataFrame, columns: Sequence[str], fields: Sequence[str])
 def day_profile(df: DataFrame, ts: str) -> DataFrame:
     """Per day of ``ts``: rows, first and last moment, share of all rows. NULL is a day of its own.
 
-    Days are counted before the shuffle. The total is a subquery over the same shuffled counts
-    (ReusedExchange), so the table is read once.
+    Days are counted before the shuffle. The total is a subquery over the same shuffled counts; it
+    asks for every aggregate so that its plan stays the same (ReusedExchange) and the table is read
+    once.
     """
     days = df.groupBy(F.to_date(ts).alias("day")).agg(
         F.count("*").alias("rows"), F.min(ts).alias("first_at"), F.max(ts).alias("last_at")
     )
-    total = days.select(F.sum("rows")).scalar()
-    return days.withColumn("share", F.col("rows") / total)
+    overall = F.struct(F.sum("rows").alias("rows"), F.min("first_at"), F.max("last_at"))
+    return days.withColumn("share", F.col("rows") / days.select(overall).scalar()["rows"])
 
 
 def partition_candidates(df: DataFrame) -> DataFrame:

@@ -115,8 +115,8 @@ def dictionary_views(orders: DataFrame, lineitem: DataFrame) -> DictionaryViews:
         F.min("l_partkey").alias("part"),
         F.min("l_suppkey").alias("supp"),
         F.min("l_quantity").alias("qty"),
-        F.min("l_linestatus").alias("status"),
-        F.min("l_returnflag").alias("flag"),
+        F.bool_and(c("l_linestatus") == "O").alias("open"),
+        F.bool_or(c("l_returnflag") == "A").alias("returned"),
         F.max(F.to_date("l_shipdate")).alias("shipped"),
     )
     named = _label("C", c("l_linenumber")).alias("COLUMN_NAME")
@@ -128,10 +128,10 @@ def dictionary_views(orders: DataFrame, lineitem: DataFrame) -> DictionaryViews:
         c("qty").cast("int").alias("DATA_LENGTH"),
         F.when(c("supp") % 4 != 0, (c("l_orderkey") % 80).cast("int")).alias("DATA_PRECISION"),
         F.when(c("supp") % 4 != 0, (c("part") % 45 - 3).cast("int")).alias("DATA_SCALE"),
-        F.when(c("status") == "O", "N").otherwise("Y").alias("NULLABLE"),
+        F.when(c("open"), "N").otherwise("Y").alias("NULLABLE"),
         F.lit(None).cast("string").alias("DATA_DEFAULT"),
     )
-    column_comments = described.filter(c("flag") == "A").select(
+    column_comments = described.filter("returned").select(
         *_table_of("l_orderkey"), named, F.concat(F.lit("ships "), c("shipped").cast("string")).alias("COMMENTS")
     )
     table_comments = orders.filter(c("o_orderstatus") != "P").select(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import decimal
+import math
 from collections.abc import Sequence
 from dataclasses import astuple, dataclass
 from functools import lru_cache
@@ -133,48 +135,91 @@ def fit(df: DataFrame, column: TargetColumn) -> Fit:
     return Fit(converted, value.isNotNull() & converted.isNull(), never)
 
 
-# Doubles hold every decimal of up to 15 digits; one digit is left for the rounding boundary.
-EXACT_DOUBLE_DIGITS = 14
+# Doubles below 2^53 count in steps of one, and 10^n is exact in a double up to n = 22.
+EXACT_DOUBLE_INTEGERS = 2.0**53
+EXACT_DOUBLE_POWER = 22
+INTEGER_DIGITS = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
 
 
 def _fit_number(value: Column, source: T.DataType, held: T.DataType, places: int | None) -> Fit:
     whole_number = isinstance(held, T.LongType)
     scale = 0 if whole_number else held.scale
     whole_digits = 19 if whole_number else held.precision - held.scale
-    # A negative source scale rounds left of the point.
-    round_to = places if places is not None and places < 0 else scale
-    # Work with room for fraction digits that the target drops. Comparing in two decimal types
-    # would compare in their common type, which may have no room for the fraction.
-    if whole_digits <= 19 and scale <= 9:
+    if places is not None and places < 0:
+        # A negative source scale rounds left of the point.
+        return _fit_by_decimal(value, source, held, places, whole_digits)
+    if type(source) in INTEGER_DIGITS:
+        never = F.lit(False)
+        misfit = never
+        if INTEGER_DIGITS[type(source)] > whole_digits:
+            limit = F.lit(10**whole_digits)
+            misfit = F.coalesce((value >= limit) | (value <= -limit), never)
+        return Fit(value.try_cast(held), misfit, never)
+    if isinstance(source, T.DoubleType) and scale <= EXACT_DOUBLE_POWER:
+        return _fit_double(value, held, scale, whole_digits)
+    return _fit_by_decimal(value, source, held, scale, whole_digits)
+
+
+def _fit_by_decimal(value: Column, source: T.DataType, held: T.DataType, round_to: int, whole_digits: int) -> Fit:
+    """Compare the value and its rounded form in one decimal type that has room for both. (Two
+    types would be compared in their common type, which may have no room for the fraction.)"""
+    scale = max(round_to, 0)
+    if whole_digits <= 19 and scale <= 8:
         work = T.DecimalType(28, 9)
     else:
-        work = T.DecimalType(38, max(scale, min(9, 38 - whole_digits)))
+        work = T.DecimalType(38, max(scale, min(38 - whole_digits, scale + 9)))
     exact = value.try_cast(work)
-    rounded_value = F.round(exact, round_to)
-    converted = rounded_value.try_cast(held)
-    misfit = value.isNotNull() & converted.isNull()
-
-    is_double = isinstance(source, (T.DoubleType, T.FloatType))
-    if isinstance(source, T.DoubleType) and not whole_number and round_to >= 0 and held.precision <= EXACT_DOUBLE_DIGITS:
-        # Same answers in double arithmetic: no decimal objects per value. The bound is where
-        # rounding reaches one digit too many; k / 10^scale gives back exactly the doubles that
-        # stand for a number with that many places.
-        bound = float(10**whole_digits) - 0.5 / 10**scale
-        misfit = value.isNotNull() & (F.isnan(value) | (F.abs(value) >= F.lit(bound)))
-        power = F.lit(float(10**scale))
-        lost = ~F.isnan(value) & (F.rint(value * power) / power != value)
-        return Fit(converted, misfit, F.coalesce(~misfit & lost, F.lit(False)))
-    if isinstance(source, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)) and round_to >= 0:
-        return Fit(converted, misfit, F.lit(False))
-    if work.scale >= min(scale + 1, 9):
-        lost = rounded_value.try_cast(work) != exact
-    elif is_double:
+    rounded = F.round(exact, round_to)
+    converted = rounded.try_cast(held)
+    if work.scale > round_to:
+        lost = rounded.try_cast(work) != exact
+    elif isinstance(source, (T.DoubleType, T.FloatType)):
         lost = F.round(value, round_to) != value
     else:
         lost = _digits_beyond(value.cast("string"), scale)
+    misfit = value.isNotNull() & converted.isNull()
     return Fit(converted, misfit, F.coalesce(converted.isNotNull() & lost, F.lit(False)))
 
 
+def _double_bound(whole_digits: int, scale: int) -> float:
+    """The smallest double that rounds to ``whole_digits`` + 1 digits before the point."""
+    limit = decimal.Decimal(10) ** whole_digits
+    step = decimal.Decimal(1).scaleb(-scale)
+
+    def overflows(number: float) -> bool:
+        with decimal.localcontext(prec=400):
+            return decimal.Decimal(repr(number)).quantize(step, decimal.ROUND_HALF_UP) >= limit
+
+    bound = float(limit - step / 2)
+    while not overflows(bound):
+        bound = math.nextafter(bound, math.inf)
+    while overflows(math.nextafter(bound, 0.0)):
+        bound = math.nextafter(bound, 0.0)
+    return bound
+
+
+def _fit_double(value: Column, held: T.DataType, scale: int, whole_digits: int) -> Fit:
+    """The same answers in double arithmetic, without a decimal object per value.
+
+    A double stands for a number with ``scale`` places when it is the nearest double to
+    k / 10^scale; below 2^53 that k is found exactly. Larger values are compared as decimals.
+    """
+    by_decimal = _fit_by_decimal(value, T.DoubleType(), held, scale, whole_digits)
+    if isinstance(held, T.LongType):
+        outside = F.isnan(value) | (value >= F.lit(2.0**63)) | (value < F.lit(-(2.0**63)))
+        small = F.abs(value) < F.lit(EXACT_DOUBLE_INTEGERS)
+        converted = F.when(small, by_decimal.converted).when(~outside, value.try_cast(held))
+    else:
+        outside = F.isnan(value) | (F.abs(value) >= F.lit(_double_bound(whole_digits, scale)))
+        converted = value.try_cast(held)
+    power = F.lit(10.0**scale)
+    lost = F.when(
+        F.abs(value) * power < F.lit(EXACT_DOUBLE_INTEGERS), F.rint(value * power) / power != value
+    ).otherwise(by_decimal.rounded)
+    no = F.lit(False)
+    return Fit(converted, F.coalesce(outside, no), F.coalesce(~outside & lost, no))
+
+
 def _digits_beyond(text: Column, scale: int) -> Column:
     """True when a plain decimal text has a digit other than 0 after ``scale`` places."""
     return text.rlike(rf"\.[0-9]{{{scale}}}[0-9]*[1-9]")

@@ -281,7 +281,7 @@ def test_merged_text_in_order(spark, tmp_path):
     two = [(f"T{n}", *row[1:]) for n in range(12) for row in SALES]
     typed = _catalog(spark, two)
     path = str(tmp_path / "merged")
-    files.write_merged(table_ddl(typed), path, datetime(2026, 1, 2, 3, 4, 5), title="Definitions")
+    files.write_merged(table_ddl(typed), columns.table_count(typed), path, datetime(2026, 1, 2, 3, 4, 5), title="Definitions")
     text = "".join(open(p, encoding="utf-8").read() for p in sorted(glob(path + "/part-*")))
     assert text.startswith("-- Definitions\n-- Generated on: 2026-01-02 03:04:05\n-- Total tables: 12\n\n-- =====")
     rule = "-- ========================================"

@@ -13,19 +13,21 @@ def dense_positions(
 
     ``bucket`` must never fall as ``order`` rises. Rows are numbered within (group, bucket), then
     shifted by the row counts of the group's earlier buckets; only those counts meet per group.
-    The last join reuses the row partitioning of the first window.
+    Group and bucket form one struct key: it matches NULLs, and the window, the counts and the join
+    all partition by it, so the rows are shuffled once.
     """
-    bucketed = df.withColumn("_bucket", bucket)
-    keys = [*group, "_bucket"]
-    local = bucketed.withColumn("_local", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-    earlier = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    rest = [c for c in df.columns if c not in group]
+    keyed = df.select(F.struct(*group, bucket.alias("_bucket")).alias("_key"), *rest)
+    local = keyed.withColumn("_local", F.row_number().over(Window.partitionBy("_key").orderBy(*order)))
+    owner = [F.col(f"_key.`{c}`") for c in group]
+    earlier = Window.partitionBy(*owner).orderBy("_key._bucket").rowsBetween(Window.unboundedPreceding, -1)
     shifts = (
-        bucketed.groupBy(*keys)
+        keyed.groupBy("_key")
         .agg(F.count("*").alias("_rows"))
-        .select(*keys, F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_shift"))
-    )
-    matched = local.alias("l").join(
-        shifts.alias("s"), [F.col(f"l.`{k}`").eqNullSafe(F.col(f"s.`{k}`")) for k in keys]
+        .select("_key", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_shift"))
     )
     position = (F.col("_local") + F.col("_shift")).cast("bigint").alias(name)
-    return matched.select(*[F.col(f"l.`{c}`") for c in df.columns], position)
+    numbered = local.join(shifts, "_key")
+    return numbered.select(
+        *[F.col(f"_key.`{c}`").alias(c) if c in group else F.col(f"`{c}`") for c in df.columns], position
+    )

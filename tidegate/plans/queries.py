@@ -200,7 +200,9 @@ FULL_DDL = DdlOptions(
 
 def merged_ddl(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "merged-ddl")
-    files.write_merged(_wide_ddl(spark, sf_dir, DdlOptions()), path, GENERATED_ON)
+    catalog = samples.wide_catalog(table(spark, sf_dir, "lineitem"))
+    ddl = table_ddl(columns.type_columns(catalog))
+    files.write_merged(ddl, columns.table_count(catalog), path, GENERATED_ON)
     return spark.read.text(path)
 
 

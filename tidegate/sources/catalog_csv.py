@@ -76,7 +76,7 @@ def read_catalog_csv(
 ) -> DataFrame:
     """Catalog records from CSV files. Without ``encoding`` each file's own is found first.
 
-    Only the paths of files that are not UTF-8 come to the driver, which lists all paths anyway.
+    The driver gets one path and encoding per file, no more than the file listing it holds anyway.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     if encoding:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date, datetime, timedelta
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,13 +58,9 @@ def write_clustered(
     (writer.partitionBy(DAY) if ts else writer).parquet(path)
 
 
-def _moment(day: date) -> datetime:
-    return datetime(day.year, day.month, day.day)
-
-
 def _at(day: date, df: DataFrame, ts: str) -> Column:
     """Midnight of ``day`` in the column's own type, so that the comparison reaches the scan."""
-    return F.lit(_moment(day)).cast("timestamp_ntz").cast(df.schema[ts].dataType)
+    return F.lit(f"{day.isoformat()} 00:00:00").cast("timestamp_ntz").cast(df.schema[ts].dataType)
 
 
 def expire_partitions(df: DataFrame, ts: str, as_of: date, days: int) -> DataFrame:

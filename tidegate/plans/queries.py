@@ -13,6 +13,7 @@ from tidegate.operators.spec import SourceColumn, convert_table, resolve
 from tidegate.plans import sample_catalogs as samples
 from tidegate.plans.ddl import DdlOptions, table_ddl
 from tidegate.plans.extract import extract_catalog
+from tidegate.plans.migrate import migrate_table
 from tidegate.plans.report import migration_report
 from tidegate.session import shared_dir
 from tidegate.sinks import files
@@ -49,6 +50,14 @@ DOCUMENTS = (
     SourceColumn("source", "VARCHAR2", length="4"),
     SourceColumn("n_chars", "NUMBER", "4", "-2"),
 )
+EVENTS = (
+    SourceColumn("event_id", "NUMBER", "18", "0", nullable="N", primary_key="Y"),
+    SourceColumn("ts", "TIMESTAMP(6)", nullable="N", partition="Y"),
+    SourceColumn("user_id", "NUMBER", "10", "0", cluster="Y"),
+    SourceColumn("event_type", "VARCHAR2", length="6", cluster="Y"),
+    SourceColumn("value", "NUMBER", "4", "2"),
+    SourceColumn("props", "CLOB"),
+)
 CHECKS = {
     "small_discount": "l_discount BETWEEN 0 AND 0.05",
     "shipped_after_1998": "l_shipdate >= TIMESTAMP_NTZ '1998-01-01 00:00:00'",
@@ -168,7 +177,8 @@ def replace_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "replace-days")
     events = table(spark, sf_dir, "events")
     layout.write_by_day(events, "ts", path)
-    late = events.filter((F.col("event_type") == "click") & (F.col("ts") >= F.lit(datetime(2024, 1, 16))))
+    second_half = F.col("ts") >= F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
+    late = events.filter((F.col("event_type") == "click") & second_half)
     layout.write_by_day(late.withColumn("value", F.col("value") + 1000), "ts", path, mode="replace_days")
     return spark.read.parquet(path)
 
@@ -185,6 +195,19 @@ def cluster_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def migrate_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Load the events as declared; both the loaded and the rejected rows are read back."""
+    path, rejected_path = shared_dir(spark, "migrated"), shared_dir(spark, "rejected")
+    migrate_table(table(spark, sf_dir, "events"), resolve(EVENTS), path, rejected_path)
+    loaded = spark.read.parquet(path).withColumn("reasons", F.lit(""))
+    bad = spark.read.parquet(rejected_path).withColumn("reasons", F.array_join("reasons", "; "))
+    keys = ["event_id", "ts", "user_id", "event_type", "props", "reasons"]
+    shown = F.col("value").cast("decimal(12,2)").alias("value")
+    return loaded.select(*keys, shown, "day").unionByName(
+        bad.select(*keys, shown, F.lit(None).cast("date").alias("day"))
+    )
+
+
 def _wide_ddl(spark: SparkSession, sf_dir: str, options: DdlOptions) -> DataFrame:
     return table_ddl(columns.type_columns(samples.wide_catalog(table(spark, sf_dir, "lineitem"))), options)
 
@@ -225,6 +248,13 @@ def csv_intake(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_catalog_csv(spark, path)
 
 
+def csv_to_ddl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From a catalog CSV to one definition per table."""
+    path = shared_dir(spark, "csv-ddl")
+    files.write_catalog_csv(samples.wide_extract(table(spark, sf_dir, "lineitem")), path)
+    return table_ddl(columns.type_columns(read_catalog_csv(spark, path)))
+
+
 def csv_korean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files in an older Korean encoding, found and read back."""
     path = shared_dir(spark, "csv-korean")
@@ -278,6 +308,7 @@ QUERIES: dict[str, Query] = {
     "replace_days": replace_days,
     "read_days": read_days,
     "cluster_layout": cluster_layout,
+    "migrate_events": migrate_events,
     "expire_days": _on("events", lambda t: layout.expire_partitions(t, "ts", date(2024, 1, 31), 10)),
     "expired_days": _on("events", lambda t: layout.expired_days(t, "ts", date(2024, 1, 31), 10)),
     # Catalog intake and extract
@@ -325,4 +356,5 @@ QUERIES: dict[str, Query] = {
     "merged_ddl": merged_ddl,
     "ddl_files": ddl_files,
     "catalog_to_ddl": catalog_to_ddl,
+    "csv_to_ddl": csv_to_ddl,
 }

@@ -558,6 +558,12 @@ WHERE event_type = 'click' AND ts >= TIMESTAMP '2024-01-16'""",
     "read_days": """SELECT *, CAST(ts AS DATE) AS day FROM events
 WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-14'""",
     "cluster_layout": "SELECT *, CAST(ts AS DATE) AS day FROM events",
+    "migrate_events": f"""SELECT event_id, ts, user_id, event_type, props, reasons,
+  CAST(value AS DECIMAL(12,2)) AS value, CASE WHEN reasons = '' THEN CAST(ts AS DATE) END AS day
+FROM (SELECT *, concat_ws('; ',
+    CASE WHEN length(event_type) > 6 THEN 'event_type: longer than 6' END,
+    CASE WHEN {_number_fit("value", "DECIMAL(4,2)", 2)[0]} THEN 'value: does not fit NUMERIC(4, 2)' END) AS reasons
+  FROM events)""",
     "expire_days": "SELECT * FROM events WHERE CAST(ts AS DATE) >= DATE '2024-01-31' - 10",
     "expired_days": """SELECT CAST(ts AS DATE) AS day, count(*) AS rows FROM events
 WHERE CAST(ts AS DATE) < DATE '2024-01-31' - 10 GROUP BY 1""",
@@ -646,5 +652,6 @@ texts AS (
     || '{RULE}' || chr(10) || chr(10) || ddl || chr(10) FROM ddl)
 {_lines_of("text")} FROM texts""",
     "ddl_files": f"""WITH {ddl(WIDE)} {_lines_of("ddl", "schema_name, table_name,")} FROM ddl""",
+    "csv_to_ddl": f"WITH {ddl(WIDE)} {_DDL_ROWS}",
     "catalog_to_ddl": f"WITH {ddl(EXTRACTED, keep_length=True)} {_DDL_ROWS}",
 }

@@ -73,6 +73,7 @@ def read_catalog_csv(
     paths: Sequence[str] | str,
     encoding: str | None = None,
     multi_line: bool = True,
+    input_order: bool = False,
 ) -> DataFrame:
     """Catalog records from CSV files. Without ``encoding`` each file's own is found first.
 
@@ -91,14 +92,14 @@ def read_catalog_csv(
             raw = part if raw is None else raw.unionByName(part, allowMissingColumns=True)
         if raw is None:
             raise ValueError(f"no lines in {paths}")
-    return catalog_records(raw)
+    return catalog_records(raw, input_order)
 
 
-def catalog_records(raw: DataFrame) -> DataFrame:
+def catalog_records(raw: DataFrame, input_order: bool = False) -> DataFrame:
     """The 17 record fields plus ``column_id``, from a frame with any of the known headers.
 
     Rows without a table name are skipped. ``column_id`` is COLUMN_ID where the header exists,
-    else the row's place within its table in input order.
+    else, or with ``input_order``, the row's place within its table in the order of the input.
     """
     present = {name.upper(): name for name in raw.columns}
 
@@ -109,7 +110,7 @@ def catalog_records(raw: DataFrame) -> DataFrame:
         return first_text(*found).alias(name)
 
     fields = [field(name) for name in RECORD_FIELDS]
-    if "COLUMN_ID" in present:
+    if "COLUMN_ID" in present and not input_order:
         place = F.coalesce(parse_int(F.col(f"`{present['COLUMN_ID']}`").cast("string")), F.lit(0).cast("bigint"))
         return raw.select(*fields, place.alias("column_id")).filter(F.col("table_name") != "")
     rows = raw.select(*fields, F.monotonically_increasing_id().alias("input_row"))

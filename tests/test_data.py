@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tidegate.operators import audits, layout, profiles
 from tidegate.operators.spec import SourceColumn, convert_table, fit, resolve
+from tidegate.plans.migrate import migrate_table
 from tidegate.plans.report import migration_report
 
 D = decimal.Decimal
@@ -162,6 +163,39 @@ def test_report_covers_every_rule(spark):
     assert reasons == {1: ["amount: does not fit NUMERIC(4, 1)", "name: longer than 3"], None: ["k: null"]}
 
 
+def test_wide_tables_are_counted_in_groups_of_columns(spark, monkeypatch):
+    frame = spark.range(50).select(*[(F.col("id") * i).cast("double").alias(f"c{i}") for i in range(12)])
+    spec = resolve([SourceColumn(f"c{i}", "NUMBER", "2", "1", nullable="N") for i in range(12)])
+    whole = [tuple(r) for r in audits.fit_audit(frame, spec).collect()]
+    report = sorted(tuple(r) for r in migration_report(frame, spec).collect())
+    monkeypatch.setattr(audits, "COLUMNS_PER_SCAN", 5)
+    assert sorted(tuple(r) for r in audits.fit_audit(frame, spec).collect()) == sorted(whole)
+    assert sorted(tuple(r) for r in migration_report(frame, spec).collect()) == report
+    assert [r[4] for r in whole] == [sum(i * n >= 10 for n in range(50)) for i in range(12)]
+
+
+def test_every_row_is_loaded_or_rejected(spark, tmp_path):
+    spec = resolve(
+        [
+            SourceColumn("id", "NUMBER", "10", "0", nullable="N", cluster="Y"),
+            SourceColumn("at", "DATE", partition="Y"),
+            SourceColumn("amount", "NUMBER", "3", "1"),
+        ]
+    )
+    frame = spark.range(200).select(
+        F.when(F.col("id") % 10 != 0, F.col("id")).alias("id"),
+        F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 3).cast("int")).cast("timestamp_ntz").alias("at"),
+        F.col("id").cast("double").alias("amount"),
+    )
+    loaded, rejected = str(tmp_path / "loaded"), str(tmp_path / "rejected")
+    migrate_table(frame, spec, loaded, rejected, partitions=4)
+    back = spark.read.parquet(loaded)
+    assert len(_folders(loaded)) == 3 and dict(back.dtypes)["amount"] == "decimal(3,1)"
+    good = [n for n in range(200) if n % 10 and n < 100]
+    assert sorted(r.id for r in back.collect()) == good
+    assert spark.read.parquet(rejected).count() == 200 - len(good)
+
+
 def test_number_profile_needs(spark):
     frame = spark.createDataFrame([(0.0, "1", 5), (12.345, "-100.50", -70), (-7.5, "x", 3)], "d double, s string, n int")
     rows = {r.column_name: r for r in profiles.number_profile(frame, ["d", "s", "n"]).collect()}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,53 +13,61 @@ from tidegate.functions.text import escape_description
 from tidegate.operators.spec import TargetColumn, fit
 
 
+# Columns counted by one aggregate. Generated code for more grows past what the JVM compiles; with
+# a columnar source, several scans of disjoint columns read no more than one scan of all of them.
+COLUMNS_PER_SCAN = 50
+
+
 def _tall(one_row: DataFrame, rows: Sequence[Mapping[str, Column]]) -> DataFrame:
     """Turn the one row of a wide aggregate into one row per mapping."""
     structs = [F.struct(*[value.alias(name) for name, value in row.items()]) for row in rows]
     return one_row.select(F.inline(F.array(*structs)))
 
 
-def _fit_counts(df: DataFrame, spec: Sequence[TargetColumn]) -> dict[str, Column]:
-    counts = {"rows": F.count("*")}
-    for place, column in enumerate(spec):
-        value = fit(df, column)
-        counts[f"nulls_{place}"] = F.count_if(F.col(f"`{column.name}`").isNull())
-        counts[f"misfits_{place}"] = F.count_if(value.misfit)
-        counts[f"rounded_{place}"] = F.count_if(value.rounded)
-    return counts
-
-
-def _aggregate(df: DataFrame, counts: Mapping[str, Column]) -> DataFrame:
-    return df.agg(*[value.alias(name) for name, value in counts.items()])
+def count_tall(df: DataFrame, rows: Sequence[Mapping[str, object]]) -> DataFrame:
+    """One output row per mapping. Text and numbers in a mapping are constants, columns are
+    aggregates over ``df``; all of them come from one scan per ``COLUMNS_PER_SCAN`` rows, and a row
+    per task is all that is shuffled."""
+    parts = []
+    for start in range(0, len(rows), COLUMNS_PER_SCAN):
+        chunk = rows[start : start + COLUMNS_PER_SCAN]
+        aggregates, shown = [], []
+        for place, row in enumerate(chunk):
+            cells = {}
+            for name, value in row.items():
+                if isinstance(value, Column):
+                    aggregates.append(value.alias(f"{name}_{place}"))
+                    cells[name] = F.col(f"{name}_{place}")
+                else:
+                    cells[name] = F.lit(value)
+            shown.append(cells)
+        parts.append(_tall(df.agg(*aggregates), shown))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def fit_audit(df: DataFrame, spec: Sequence[TargetColumn]) -> DataFrame:
-    """Per column: rows, nulls, values that do not fit the target type, values rounded to fit.
-
-    One scan of the spec's columns and one aggregate; a row per task is all that is shuffled.
-    """
-    totals = _aggregate(df, _fit_counts(df, spec))
-    return _tall(
-        totals,
-        [
+    """Per column: rows, nulls, values that do not fit the target type, values rounded to fit."""
+    rows = []
+    for column in spec:
+        value = fit(df, column)
+        rows.append(
             {
-                "column_name": F.lit(column.name),
-                "target_type": F.lit(column.type_text),
-                "rows": F.col("rows"),
-                "nulls": F.col(f"nulls_{place}"),
-                "misfits": F.col(f"misfits_{place}"),
-                "rounded": F.col(f"rounded_{place}"),
+                "column_name": column.name,
+                "target_type": column.type_text,
+                "rows": F.count("*"),
+                "nulls": F.count_if(F.col(f"`{column.name}`").isNull()),
+                "misfits": F.count_if(value.misfit),
+                "rounded": F.count_if(value.rounded),
             }
-            for place, column in enumerate(spec)
-        ],
-    )
+        )
+    return count_tall(df, rows)
 
 
-def _text_columns(df: DataFrame, spec: Sequence[TargetColumn]) -> list[TargetColumn]:
+def text_columns(df: DataFrame, spec: Sequence[TargetColumn]) -> list[TargetColumn]:
     return [c for c in spec if c.target_type == "STRING" and isinstance(df.schema[c.name].dataType, T.StringType)]
 
 
-def _too_long(column: TargetColumn) -> Column:
+def too_long(column: TargetColumn) -> Column:
     if column.length is None:
         return F.lit(False)
     return F.coalesce(F.char_length(F.col(f"`{column.name}`")) > column.length, F.lit(False))
@@ -66,40 +75,29 @@ def _too_long(column: TargetColumn) -> Column:
 
 def length_audit(df: DataFrame, spec: Sequence[TargetColumn]) -> DataFrame:
     """Per text column: declared length, longest value in characters and bytes, rows too long."""
-    texts = _text_columns(df, spec)
-    counts: dict[str, Column] = {}
-    for place, column in enumerate(texts):
+    rows = []
+    for column in text_columns(df, spec):
         value = F.col(f"`{column.name}`")
-        counts[f"chars_{place}"] = F.max(F.char_length(value)).cast("bigint")
-        counts[f"bytes_{place}"] = F.max(F.octet_length(value)).cast("bigint")
-        counts[f"over_{place}"] = F.count_if(_too_long(column))
-    return _tall(
-        _aggregate(df, counts),
-        [
+        rows.append(
             {
-                "column_name": F.lit(column.name),
-                "declared_length": F.lit(column.length).cast("bigint"),
-                "max_chars": F.col(f"chars_{place}"),
-                "max_bytes": F.col(f"bytes_{place}"),
-                "rows_over": F.col(f"over_{place}"),
+                "column_name": column.name,
+                "declared_length": F.max(F.lit(column.length).cast("bigint")),
+                "max_chars": F.max(F.char_length(value)).cast("bigint"),
+                "max_bytes": F.max(F.octet_length(value)).cast("bigint"),
+                "rows_over": F.count_if(too_long(column)),
             }
-            for place, column in enumerate(texts)
-        ],
-    )
+        )
+    return count_tall(df, rows)
 
 
 def not_null_audit(df: DataFrame, spec: Sequence[TargetColumn]) -> DataFrame:
     """Per column declared NOT NULL: rows and NULLs."""
-    required = [c for c in spec if not c.nullable]
-    counts = {"rows": F.count("*")}
-    counts |= {f"nulls_{i}": F.count_if(F.col(f"`{c.name}`").isNull()) for i, c in enumerate(required)}
-    return _tall(
-        _aggregate(df, counts),
-        [
-            {"column_name": F.lit(c.name), "rows": F.col("rows"), "nulls": F.col(f"nulls_{i}")}
-            for i, c in enumerate(required)
-        ],
-    )
+    rows = []
+    for column in spec:
+        if not column.nullable:
+            nulls = F.count_if(F.col(f"`{column.name}`").isNull())
+            rows.append({"column_name": column.name, "rows": F.count("*"), "nulls": nulls})
+    return count_tall(df, rows)
 
 
 def _any_null(keys: Sequence[str]) -> Column:
@@ -152,22 +150,18 @@ def check_audit(df: DataFrame, checks: Mapping[str, str]) -> DataFrame:
 
     As in SQL, an unknown condition passes.
     """
-    counts = {"rows": F.count("*")}
-    for place, condition in enumerate(checks.values()):
-        counts[f"false_{place}"] = F.count_if(~F.expr(condition))
-        counts[f"unknown_{place}"] = F.count_if(F.expr(condition).isNull())
-    return _tall(
-        _aggregate(df, counts),
-        [
+    rows = []
+    for name, condition in checks.items():
+        holds = F.expr(condition)
+        rows.append(
             {
-                "check_name": F.lit(name),
-                "rows": F.col("rows"),
-                "violations": F.col(f"false_{place}"),
-                "unknown": F.col(f"unknown_{place}"),
+                "check_name": name,
+                "rows": F.count("*"),
+                "violations": F.count_if(~holds),
+                "unknown": F.count_if(holds.isNull()),
             }
-            for place, name in enumerate(checks)
-        ],
-    )
+        )
+    return count_tall(df, rows)
 
 
 def with_reasons(df: DataFrame, spec: Sequence[TargetColumn]) -> DataFrame:
@@ -179,7 +173,7 @@ def with_reasons(df: DataFrame, spec: Sequence[TargetColumn]) -> DataFrame:
         if column.target_type != "STRING":
             found.append(F.when(fit(df, column).misfit, f"{column.name}: does not fit {column.type_text}"))
         elif column.length is not None and isinstance(df.schema[column.name].dataType, T.StringType):
-            found.append(F.when(_too_long(column), f"{column.name}: longer than {column.length}"))
+            found.append(F.when(too_long(column), f"{column.name}: longer than {column.length}"))
     return df.withColumn("reasons", F.array_compact(F.array(*found)) if found else F.array().cast("array<string>"))
 
 

@@ -37,23 +37,32 @@ def write_by_day(df: DataFrame, ts: str, path: str, mode: str = "errorifexists")
     writer.parquet(path)
 
 
-def cluster_layout(df: DataFrame, cluster_by: Sequence[str], ts: str | None = None) -> DataFrame:
+def cluster_layout(
+    df: DataFrame, cluster_by: Sequence[str], ts: str | None = None, partitions: int | None = None
+) -> DataFrame:
     """Co-locate rows by the clustering columns, within each day when ``ts`` is given.
 
     Range partitioning with the row's hash as the last key: a key or day that holds a third of all
-    rows is cut into neighbouring partitions instead of one.
+    rows is cut into neighbouring partitions instead of one. ``partitions`` is the number of ranges
+    (for about 1 GB each); by default the session's shuffle partitions, merged where small.
     """
     keys = [*([DAY] if ts else []), *cluster_by]
     rows = with_day(df, ts) if ts else df
     spread = rows.withColumn("_spread", row_spread(df))
-    return spread.repartitionByRange(*keys, "_spread").drop("_spread").sortWithinPartitions(*keys)
+    count = [partitions] if partitions else []
+    return spread.repartitionByRange(*count, *keys, "_spread").drop("_spread").sortWithinPartitions(*keys)
 
 
 def write_clustered(
-    df: DataFrame, cluster_by: Sequence[str], path: str, ts: str | None = None, mode: str = "errorifexists"
+    df: DataFrame,
+    cluster_by: Sequence[str],
+    path: str,
+    ts: str | None = None,
+    mode: str = "errorifexists",
+    partitions: int | None = None,
 ) -> None:
     """Write a clustered table: row groups then carry narrow min/max values of the keys."""
-    rows = cluster_layout(df, cluster_by, ts)
+    rows = cluster_layout(df, cluster_by, ts, partitions)
     writer = rows.write.mode(mode)
     (writer.partitionBy(DAY) if ts else writer).parquet(path)
 

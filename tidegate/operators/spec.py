@@ -204,19 +204,20 @@ def _fit_double(value: Column, held: T.DataType, scale: int, whole_digits: int)
     A double stands for a number with ``scale`` places when it is the nearest double to
     k / 10^scale; below 2^53 that k is found exactly. Larger values are compared as decimals.
     """
+    no = F.lit(False)
+    power = F.lit(10.0**scale)
+    lost = F.rint(value * power) / power != value
     by_decimal = _fit_by_decimal(value, T.DoubleType(), held, scale, whole_digits)
+    if whole_digits + scale > 15:
+        lost = F.when(F.abs(value) * power < F.lit(EXACT_DOUBLE_INTEGERS), lost).otherwise(by_decimal.rounded)
+    # A cast that fails costs far more than one that succeeds, so misfits are kept from it.
     if isinstance(held, T.LongType):
         outside = F.isnan(value) | (value >= F.lit(2.0**63)) | (value < F.lit(-(2.0**63)))
         small = F.abs(value) < F.lit(EXACT_DOUBLE_INTEGERS)
         converted = F.when(small, by_decimal.converted).when(~outside, value.try_cast(held))
     else:
         outside = F.isnan(value) | (F.abs(value) >= F.lit(_double_bound(whole_digits, scale)))
-        converted = value.try_cast(held)
-    power = F.lit(10.0**scale)
-    lost = F.when(
-        F.abs(value) * power < F.lit(EXACT_DOUBLE_INTEGERS), F.rint(value * power) / power != value
-    ).otherwise(by_decimal.rounded)
-    no = F.lit(False)
+        converted = F.when(~outside, value.try_cast(held))
     return Fit(converted, F.coalesce(outside, no), F.coalesce(~outside & lost, no))
 
 

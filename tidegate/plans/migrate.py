@@ -18,7 +18,12 @@ def partition_column(spec: Sequence[TargetColumn]) -> str | None:
 
 
 def migrate_table(
-    df: DataFrame, spec: Sequence[TargetColumn], path: str, rejected_path: str, mode: str = "errorifexists"
+    df: DataFrame,
+    spec: Sequence[TargetColumn],
+    path: str,
+    rejected_path: str,
+    mode: str = "errorifexists",
+    partitions: int | None = None,
 ) -> None:
     """Write the converted rows to ``path``, and rows that cannot be loaded, with their reasons, to
     ``rejected_path``. Nothing is lost: each row goes to exactly one of the two.
@@ -31,7 +36,7 @@ def migrate_table(
     ts = partition_column(spec)
     cluster_by = [column.name for column in spec if column.cluster]
     if cluster_by:
-        layout.write_clustered(converted, cluster_by, path, ts, mode)
+        layout.write_clustered(converted, cluster_by, path, ts, mode, partitions)
     elif ts:
         layout.write_by_day(converted, ts, path, mode)
     else:

@@ -20,31 +20,28 @@ def migration_report(
 ) -> DataFrame:
     """``check, subject, violations``: types, lengths, NOT NULL, conditions, keys and references.
 
-    Everything about single rows is one aggregate over one scan; each key and each reference adds
-    one shuffle of its key columns. For keys, violations are the rows under a broken key.
+    Everything about single rows is counted in one scan (per ``audits.COLUMNS_PER_SCAN`` entries);
+    each key and each reference adds one shuffle of its key columns. For keys, violations are the
+    rows under a broken key.
     """
     checks = checks or {}
-    entries: list[tuple[str, str, object]] = []
+    rows: list[dict[str, object]] = []
+
+    def add(check: str, subject: str, broken) -> None:
+        rows.append({"check": check, "subject": subject, "violations": F.count_if(broken)})
+
     for column in spec:
         value = audits.fit(df, column)
-        entries.append(("type", column.name, F.count_if(value.misfit)))
-        entries.append(("rounding", column.name, F.count_if(value.rounded)))
+        add("type", column.name, value.misfit)
+        add("rounding", column.name, value.rounded)
         if not column.nullable:
-            entries.append(("not null", column.name, F.count_if(F.col(f"`{column.name}`").isNull())))
-    for column in audits._text_columns(df, spec):
+            add("not null", column.name, F.col(f"`{column.name}`").isNull())
+    for column in audits.text_columns(df, spec):
         if column.length is not None:
-            entries.append(("length", column.name, F.count_if(audits._too_long(column))))
+            add("length", column.name, audits.too_long(column))
     for name, condition in checks.items():
-        entries.append(("check", name, F.count_if(~F.expr(condition))))
-
-    totals = df.agg(*[count.alias(f"n_{i}") for i, (_, _, count) in enumerate(entries)])
-    report = audits._tall(
-        totals,
-        [
-            {"check": F.lit(check), "subject": F.lit(subject), "violations": F.col(f"n_{i}")}
-            for i, (check, subject, _) in enumerate(entries)
-        ],
-    )
+        add("check", name, ~F.expr(condition))
+    report = audits.count_tall(df, rows)
 
     def total(check: str, subject: str, broken: DataFrame, rows: str) -> DataFrame:
         return broken.agg(F.coalesce(F.sum(rows), F.lit(0)).alias("violations")).select(

@@ -20,6 +20,10 @@ def build_session(app: str = "tidegate", master: str | None = None, shuffle_part
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.legacy.javaCharsets", "true")
+        # The JVM leaves methods of more than 8,000 bytes uncompiled; wide tables would reach that.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
+        # Call sites are recorded per column expression; for wide tables that outlasts the query.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master:
         builder = builder.master(master).config("spark.ui.enabled", "false").config("spark.driver.memory", "12g")

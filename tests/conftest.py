@@ -11,14 +11,13 @@ SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    from pyspark.sql import SparkSession
-
     from tidegate.session import build_session
 
-    SparkSession.builder.config(
-        "spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse"))
-    ).config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
-    session = build_session("tests", "local[4]", 4)
+    settings = {
+        "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
+        "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
+    }
+    session = build_session("tests", "local[4]", 4, settings)
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

@@ -4,11 +4,17 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Mapping
 
 from pyspark.sql import SparkSession
 
 
-def build_session(app: str = "tidegate", master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
+def build_session(
+    app: str = "tidegate",
+    master: str | None = None,
+    shuffle_partitions: int | None = None,
+    settings: Mapping[str, str] | None = None,
+) -> SparkSession:
     """A session with the settings the library is written for.
 
     On a cluster leave ``master`` and ``shuffle_partitions`` to spark-submit: adaptive execution
@@ -29,6 +35,8 @@ def build_session(app: str = "tidegate", master: str | None = None, shuffle_part
         builder = builder.master(master).config("spark.ui.enabled", "false").config("spark.driver.memory", "12g")
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    for key, value in (settings or {}).items():
+        builder = builder.config(key, value)
     return builder.getOrCreate()
 
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Mapping
 
 from pyspark.sql import SparkSession
@@ -53,3 +55,22 @@ def shared_dir(spark: SparkSession, name: str) -> str:
         base = tempfile.mkdtemp(prefix="tidegate-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/tidegate-{name}-{uuid.uuid4().hex}"
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application, wherever they run."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="tidegate-"), "tidegate.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for folder, _, names in sorted(os.walk(root)):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                path = os.path.join(folder, name)
+                out.write(path, os.path.relpath(path, os.path.dirname(root)))
+    context.addPyFile(archive)
+    _SHIPPED.add(context.applicationId)

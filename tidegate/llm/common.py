@@ -10,8 +10,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidegate.session import ship_package
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table of the input folder; the workers get this package, which their functions come from."""
+    ship_package(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 

@@ -7,9 +7,31 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from tidegate.llm import langid, toxicity, warc
 from tidegate.llm.bpe import encode_texts
-from tidegate.llm.common import table
+from tidegate.llm.common import table, work_folder
 from tidegate.llm.counts import count_tokens
+from tidegate.llm.secrets import find_secrets
+
+
+def secret_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return find_secrets(table(spark, sf, "documents"))
+
+
+def language_id(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    return langid.identify(docs, langid.learn(docs))
+
+
+def warc_archive(spark: SparkSession, sf: str) -> DataFrame:
+    folder = work_folder(spark)
+    warc.write_archives(table(spark, sf, "pages"), folder, shard_bytes=32 << 20, roll_bytes=16 << 20)
+    return warc.read_archives(spark, folder)
+
+
+def toxic_passages(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    return toxicity.score_texts(docs, toxicity.learn(docs, table(spark, sf, "labels")))
 
 
 def byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
@@ -22,7 +44,11 @@ def token_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_secret_scan": secret_scan,
+    "op2_language_id": language_id,
+    "op5_warc_archive": warc_archive,
     "op6_byte_bpe": byte_bpe,
+    "op8_toxic_passages": toxic_passages,
     "op10_token_counts": token_counts,
 }
 SQL: dict[str, str] = {}

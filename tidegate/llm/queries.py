@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegate.llm import langid, toxicity, warc
+from tidegate.llm import langid, minhash, toxicity, warc
 from tidegate.llm.bpe import encode_texts
 from tidegate.llm.common import table, work_folder
 from tidegate.llm.counts import count_tokens
@@ -39,6 +39,10 @@ def byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return encode_texts(table(spark, sf, "documents"), ranks, public_tokenizers.PATTERN, keep_ids=False)
 
 
+def near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf, "documents"), size=3, percent=85)
+
+
 def token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return count_tokens(table(spark, sf, "documents"), public_tokenizers.path("piece_bpe_32k.model"), limit=4096)
 
@@ -49,6 +53,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_warc_archive": warc_archive,
     "op6_byte_bpe": byte_bpe,
     "op8_toxic_passages": toxic_passages,
+    "op9_minhash_near_dedup": near_duplicates,
     "op10_token_counts": token_counts,
 }
 SQL: dict[str, str] = {}

@@ -225,8 +225,10 @@ def learn(
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.float64()), batch.column(1)], ["x", "toxic"])
 
     # One number per sampled text.
-    pairs = sample.mapInArrow(weigh, "x double, toxic int").orderBy("x", "toxic").toArrow()
+    pairs = sample.mapInArrow(weigh, "x double, toxic int").toArrow()
     x, y = pairs["x"].to_numpy(), pairs["toxic"].to_numpy()
+    order = np.lexsort((y, x))  # sums don't depend on the order of arrival
+    x, y = x[order], y[order]
     with_words = x > NO_EVIDENCE
     slope, offset = _logistic(x[with_words], y[with_words].astype(float))
     without = float((y[~with_words].sum() + 0.5) / ((~with_words).sum() + 1))

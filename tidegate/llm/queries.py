@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegate.llm import langid, minhash, toxicity, warc
+from tidegate.llm import decontam, langid, minhash, quality, toxicity, warc
 from tidegate.llm.bpe import encode_texts
 from tidegate.llm.common import table, work_folder
 from tidegate.llm.counts import count_tokens
@@ -23,6 +23,15 @@ def language_id(spark: SparkSession, sf: str) -> DataFrame:
     return langid.identify(docs, langid.learn(docs))
 
 
+def benchmark_leaks(spark: SparkSession, sf: str) -> DataFrame:
+    return decontam.find_leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"), similarity=0.8)
+
+
+def quality_rules(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    return quality.judge(docs, quality.learn(docs))
+
+
 def warc_archive(spark: SparkSession, sf: str) -> DataFrame:
     folder = work_folder(spark)
     warc.write_archives(table(spark, sf, "pages"), folder, shard_bytes=32 << 20, roll_bytes=16 << 20)
@@ -50,6 +59,8 @@ def token_counts(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": secret_scan,
     "op2_language_id": language_id,
+    "op3_benchmark_leaks": benchmark_leaks,
+    "op4_quality_rules": quality_rules,
     "op5_warc_archive": warc_archive,
     "op6_byte_bpe": byte_bpe,
     "op8_toxic_passages": toxic_passages,

@@ -6,6 +6,7 @@ import numpy as np
 
 # Words are runs without ASCII white space; A-Z count as a-z.
 _FOLD = bytes(32 if i in range(9, 14) or i == 32 else i + 32 if i in range(65, 91) else i for i in range(256))
+_FOLD_SPACE = bytes(32 if i in range(9, 14) else i for i in range(256))
 # The same, but anything that is neither letter nor digit parts words, in ASCII; other bytes belong to words.
 _FOLD_PLAIN = bytes(b if b > 127 or chr(b).isalnum() else 32 for b in _FOLD)
 _PICK = np.random.default_rng(20240229)
@@ -33,13 +34,14 @@ def _powers(count: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[0], _POWERS[1]
 
 
-def word_hashes(texts: list[bytes], plain: bool = False) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(texts: list[bytes], plain: bool = False, exact: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """The 64-bit hashes of all words, text after text, and where each text's words begin (one more at the end).
 
-    ``plain`` words are runs of letters and digits. A word's hash is a polynomial over its bytes: from running sums over all bytes, divided by the power
+    ``plain`` words are runs of letters and digits, ``exact`` words keep their case. A word's hash is a polynomial over its bytes: from running sums over all bytes, divided by the power
     at its first byte.
     """
-    codes = np.frombuffer((b" " + b" ".join(texts) + b" ").translate(_FOLD_PLAIN if plain else _FOLD), dtype=np.uint8)
+    fold = _FOLD_SPACE if exact else _FOLD_PLAIN if plain else _FOLD
+    codes = np.frombuffer((b" " + b" ".join(texts) + b" ").translate(fold), dtype=np.uint8)
     inside = codes != 32
     edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
     starts, ends = edges[0::2], edges[1::2]

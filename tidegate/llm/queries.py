@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegate.llm import decontam, langid, minhash, quality, toxicity, warc
+from tidegate.llm import decontam, langid, lm, minhash, quality, toxicity, warc
 from tidegate.llm.bpe import encode_texts
 from tidegate.llm.common import table, work_folder
 from tidegate.llm.counts import count_tokens
@@ -38,6 +38,11 @@ def warc_archive(spark: SparkSession, sf: str) -> DataFrame:
     return warc.read_archives(spark, folder)
 
 
+def lm_scores(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    return lm.score_texts(docs, lm.learn(docs))
+
+
 def toxic_passages(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     return toxicity.score_texts(docs, toxicity.learn(docs, table(spark, sf, "labels")))
@@ -63,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality_rules": quality_rules,
     "op5_warc_archive": warc_archive,
     "op6_byte_bpe": byte_bpe,
+    "op7_lm_scores": lm_scores,
     "op8_toxic_passages": toxic_passages,
     "op9_minhash_near_dedup": near_duplicates,
     "op10_token_counts": token_counts,

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidegate.operators import columns
 from tidegate.operators.positions import dense_positions
 from tidegate.operators.spec import table_spec
-from tidegate.plans.ddl import DdlOptions, table_ddl
+from tidegate.plans.ddl import DdlOptions, ddl_lines, table_ddl
 from tidegate.plans.extract import extract_catalog
 from tidegate.sinks import files
 from tidegate.sources import dictionary
@@ -217,7 +217,7 @@ CLUSTER BY `Order`, Amount
 
 
 def _text(frame):
-    rows = sorted(frame.collect(), key=lambda r: (r.schema_name, r.table_name, r.section, r.part))
+    rows = sorted(frame.collect(), key=lambda r: (r.schema_name, r.table_name))
     return "\n".join(r.ddl for r in rows)
 
 
@@ -261,27 +261,40 @@ def test_sixteen_key_columns(spark):
     assert "PRIMARY KEY (" + ", ".join(f"PK{i:02d}" for i in range(1, 17)) + ") NOT ENFORCED" in text
 
 
-def test_huge_table_is_split_and_whole(spark, monkeypatch):
-    rows = [
-        ("T", f"C{i}", "DATE" if i == 12 else "NUMBER", "5", "0", "Y", "Y" if i in (2, 7, 14) else "N", "",
-         "Y" if i in (12, 13) else "N", "Y" if i in (4, 9, 15) else "N")
-        for i in range(1, 18)
-    ]
-    typed = _catalog(spark, rows)
-    whole = _text(table_ddl(typed))
-    monkeypatch.setattr(columns, "PART_COLUMNS", 5)
-    split = table_ddl(typed)
-    assert split.count() == 4 + 1 + 3 + 1
-    text = _text(split)
-    assert text.replace("\n, ", ", ") == whole
-    assert split.filter("opens").count() == split.filter("closes").count() == 1
+def test_tables_of_any_size_and_numbering(spark):
+    def row(i, number):
+        return ("S", "T", f"C{i:05d}", number, "DATE" if i == 12 else "NUMBER", "Y" if i in (2, 7, 14) else "N", "Y" if i == 12 else "N", "Y" if i in (4, 1500) else "N")
+
+    header = "OWNER string, TABLE_NAME string, COLUMN_NAME string, COLUMN_ID string, DATA_TYPE string, IS_PRIMARY_KEY string, PARTITION_YN string, CLUSTER_YN string"
+    blank = [row(i, "") for i in range(2000)]
+    gapped = [row(i, str(i * i + 5)) for i in range(2000)]
+    repeated = [row(i, str(i // 3)) for i in range(2000)]
+    texts = set()
+    for rows in (blank, gapped, repeated):
+        typed = columns.type_columns(catalog_records(spark.createDataFrame(rows, header).coalesce(1)))
+        statements = table_ddl(typed).collect()
+        assert len(statements) == 1
+        texts.add(statements[0].ddl)
+        lines = sorted(ddl_lines(typed).collect(), key=lambda r: (r.section, r.position, r.tie))
+        assert "\n".join(r.line for r in lines) == statements[0].ddl
+        assert [r.columns for r in columns.grouped_columns(typed).select(F.size("columns").alias("columns")).collect()] == [2000]
+    text = texts.pop()
+    assert not texts and text.count("CLUSTER BY ") == 1 and "CLUSTER BY C00004, C01500" in text
+    assert [c.split()[0] for c in text.splitlines()[1:2001]] == [f"C{i:05d}" for i in range(2000)]
+
+
+def test_dropped_keys_are_shown(spark):
+    rows = [("T", f"PK{i:02d}", "NUMBER", "10", "0", "N", "Y", "", "N", "N") for i in range(1, 19)]
+    found = columns.key_columns(_catalog(spark, rows)).collect()[0]
+    assert (found.key_columns, found.dropped_keys) == (16, "PK17, PK18")
+    assert "PK18)" in _text(table_ddl(_catalog(spark, rows), DdlOptions(max_key_columns=18)))
 
 
 def test_merged_text_in_order(spark, tmp_path):
     two = [(f"T{n}", *row[1:]) for n in range(12) for row in SALES]
     typed = _catalog(spark, two)
     path = str(tmp_path / "merged")
-    files.write_merged(table_ddl(typed), columns.table_count(typed), path, datetime(2026, 1, 2, 3, 4, 5), title="Definitions")
+    files.write_merged(ddl_lines(typed), columns.table_count(typed), path, datetime(2026, 1, 2, 3, 4, 5), title="Definitions")
     text = "".join(open(p, encoding="utf-8").read() for p in sorted(glob(path + "/part-*")))
     assert text.startswith("-- Definitions\n-- Generated on: 2026-01-02 03:04:05\n-- Total tables: 12\n\n-- =====")
     rule = "-- ========================================"
@@ -295,7 +308,7 @@ def test_merged_text_in_order(spark, tmp_path):
 def test_one_folder_per_table(spark, tmp_path):
     typed = _catalog(spark, SALES + [("S_ales", *SALES[0][1:])])
     path = tmp_path / "ddl"
-    files.write_per_table(table_ddl(typed), str(path))
+    files.write_per_table(ddl_lines(typed), str(path))
     found = glob(f"{path}/schema_name=MyDataset/table_name=Sales/part-*")
     assert len(found) == 1 and open(found[0], encoding="utf-8").read().rstrip("\n") == SALES_DDL
     assert glob(f"{path}/schema_name=MyDataset/table_name=S_ales/part-*")

@@ -288,3 +288,68 @@ def test_day_profile_reads_the_table_once(spark, sf_dir):
     profile.collect()
     assert "ReusedExchange" in profile._jdf.queryExecution().executedPlan().toString()
     assert abs(profile.agg(F.sum("share")).first()[0] - 1) < 1e-9
+
+
+def test_values_are_rounded_once(spark):
+    near = "2.4999999999"
+    frame = spark.createDataFrame([(near, decimal.Decimal(near), float(near), "1.0000000001")], "a string, b decimal(20,10), c double, d string")
+    spec = resolve([SourceColumn(c, "NUMBER", "5", "0") for c in "abc"] + [SourceColumn("d", "NUMBER", "10", "2")])
+    row = convert_table(frame, spec).collect()[0]
+    assert [int(row[c]) for c in "abc"] == [2, 2, 2]
+    assert {r.column_name: r.rounded for r in audits.fit_audit(frame, spec).collect()} == {c: 1 for c in "abcd"}
+    hundreds = spark.createDataFrame([("49.9999999999",), ("50",), ("-150.0001",), ("1e2",), (None,)], "n string")
+    spec = resolve([SourceColumn("n", "NUMBER", "4", "-2")])
+    assert [r.n and int(r.n) for r in convert_table(hundreds, spec).collect()] == [0, 100, -200, 100, None]
+    assert audits.fit_audit(hundreds, spec).collect()[0].rounded == 3
+
+
+def test_small_fractions_are_profiled(spark):
+    frame = spark.createDataFrame(
+        [(decimal.Decimal("0.000000000000123"), 1e-12, "0.00000000000012300", 1e-25, "1e-3")],
+        "a decimal(38,18), b double, c string, d double, e string",
+    )
+    got = {r.column_name: (r["scale"], r.unreadable) for r in profiles.number_profile(frame, list("abcde")).collect()}
+    assert got["a"] == (15, 0) and got["b"] == (12, 0) and got["c"] == (15, 0)
+    assert got["d"][1] == got["e"][1] == 1
+
+
+def test_helper_columns_never_replace_data(spark, tmp_path):
+    frame = spark.createDataFrame([(datetime(2024, 1, 1), "mine", "why")], "ts timestamp_ntz, DAY string, Reasons string")
+    spec = resolve([SourceColumn("DAY", "VARCHAR2", length="9")])
+    for refused in (
+        lambda: layout.write_by_day(frame, "ts", str(tmp_path / "x")),
+        lambda: layout.cluster_layout(frame, ["DAY"], "ts"),
+        lambda: audits.quarantine(frame, spec),
+        lambda: convert_table(frame, spec),
+    ):
+        with pytest.raises(ValueError):
+            refused()
+    layout.write_by_day(frame, "ts", str(tmp_path / "y"), day="sold_on")
+    assert spark.read.parquet(str(tmp_path / "y")).columns == ["ts", "DAY", "Reasons", "sold_on"]
+    good, bad = audits.quarantine(frame, spec, "why")
+    assert good.columns == frame.columns and bad.columns == [*frame.columns, "why"]
+    assert convert_table(frame, spec, "keep").columns == ["DAY", "ts", "Reasons"]
+    assert convert_table(frame, spec, "drop").columns == ["DAY"]
+    with pytest.raises(ValueError):
+        convert_table(frame, resolve([SourceColumn("gone", "DATE")]), "drop")
+
+
+def test_bytes_have_a_length_and_audits_may_be_empty(spark):
+    frame = spark.createDataFrame([(bytearray(b"123"),), (bytearray(b"123456"),)], "raw binary")
+    spec = resolve([SourceColumn("raw", "RAW", length="3")])
+    _, bad = audits.quarantine(frame, spec)
+    assert [r.reasons for r in bad.collect()] == [["raw: longer than 3"]]
+    for empty in (audits.not_null_audit(frame, spec), audits.length_audit(frame, spec), audits.check_audit(frame, {})):
+        assert empty.count() == 0 and len(empty.columns) >= 3
+
+
+def test_targets_are_looked_at_before_writing(spark, tmp_path):
+    frame = spark.createDataFrame([(1,)], "n int")
+    spec = resolve([SourceColumn("n", "NUMBER", "3", "0")])
+    path, rejected = str(tmp_path / "t"), str(tmp_path / "r")
+    frame.write.parquet(rejected)
+    with pytest.raises(FileExistsError):
+        migrate_table(frame, spec, path, rejected)
+    assert not (tmp_path / "t").exists()
+    with pytest.raises(ValueError):
+        migrate_table(frame, spec, path, rejected, mode="replace_days")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegate.functions.text import escape_description
+from tidegate.operators.layout import refuse_clash
 from tidegate.operators.spec import TargetColumn, fit
 
 
@@ -24,10 +25,12 @@ def _tall(one_row: DataFrame, rows: Sequence[Mapping[str, Column]]) -> DataFrame
     return one_row.select(F.inline(F.array(*structs)))
 
 
-def count_tall(df: DataFrame, rows: Sequence[Mapping[str, object]]) -> DataFrame:
+def count_tall(df: DataFrame, rows: Sequence[Mapping[str, object]], schema: str) -> DataFrame:
     """One output row per mapping. Text and numbers in a mapping are constants, columns are
     aggregates over ``df``; all of them come from one scan per ``COLUMNS_PER_SCAN`` rows, and a row
-    per task is all that is shuffled."""
+    per task is all that is shuffled. Without mappings the result is empty, with the schema."""
+    if not rows:
+        return df.sparkSession.createDataFrame([], schema)
     parts = []
     for start in range(0, len(rows), COLUMNS_PER_SCAN):
         chunk = rows[start : start + COLUMNS_PER_SCAN]
@@ -60,7 +63,7 @@ def fit_audit(df: DataFrame, spec: Sequence[TargetColumn]) -> DataFrame:
                 "rounded": F.count_if(value.rounded),
             }
         )
-    return count_tall(df, rows)
+    return count_tall(df, rows, "column_name string, target_type string, rows long, nulls long, misfits long, rounded long")
 
 
 def text_columns(df: DataFrame, spec: Sequence[TargetColumn]) -> list[TargetColumn]:
@@ -68,9 +71,12 @@ def text_columns(df: DataFrame, spec: Sequence[TargetColumn]) -> list[TargetColu
 
 
 def too_long(column: TargetColumn) -> Column:
+    """Texts count in characters, binary values in bytes."""
     if column.length is None:
         return F.lit(False)
-    return F.coalesce(F.char_length(F.col(f"`{column.name}`")) > column.length, F.lit(False))
+    value = F.col(f"`{column.name}`")
+    size = F.octet_length(value) if column.target_type == "BYTES" else F.char_length(value)
+    return F.coalesce(size > column.length, F.lit(False))
 
 
 def length_audit(df: DataFrame, spec: Sequence[TargetColumn]) -> DataFrame:
@@ -87,7 +93,7 @@ def length_audit(df: DataFrame, spec: Sequence[TargetColumn]) -> DataFrame:
                 "rows_over": F.count_if(too_long(column)),
             }
         )
-    return count_tall(df, rows)
+    return count_tall(df, rows, "column_name string, declared_length long, max_chars long, max_bytes long, rows_over long")
 
 
 def not_null_audit(df: DataFrame, spec: Sequence[TargetColumn]) -> DataFrame:
@@ -97,7 +103,7 @@ def not_null_audit(df: DataFrame, spec: Sequence[TargetColumn]) -> DataFrame:
         if not column.nullable:
             nulls = F.count_if(F.col(f"`{column.name}`").isNull())
             rows.append({"column_name": column.name, "rows": F.count("*"), "nulls": nulls})
-    return count_tall(df, rows)
+    return count_tall(df, rows, "column_name string, rows long, nulls long")
 
 
 def _any_null(keys: Sequence[str]) -> Column:
@@ -161,33 +167,39 @@ def check_audit(df: DataFrame, checks: Mapping[str, str]) -> DataFrame:
                 "unknown": F.count_if(holds.isNull()),
             }
         )
-    return count_tall(df, rows)
+    return count_tall(df, rows, "check_name string, rows long, violations long, unknown long")
 
 
-def with_reasons(df: DataFrame, spec: Sequence[TargetColumn]) -> DataFrame:
-    """Add ``reasons``: why a row cannot be loaded as declared; an empty array when it can."""
+def with_reasons(df: DataFrame, spec: Sequence[TargetColumn], name: str = "reasons") -> DataFrame:
+    """Add why a row cannot be loaded as declared; an empty array when it can.
+
+    ``name`` must not be a column of ``df`` already.
+    """
+    refuse_clash(df, name)
     found = []
     for column in spec:
+        source = df.schema[column.name].dataType
         if not column.nullable:
             found.append(F.when(F.col(f"`{column.name}`").isNull(), f"{column.name}: null"))
         if column.target_type != "STRING":
             found.append(F.when(fit(df, column).misfit, f"{column.name}: does not fit {column.type_text}"))
-        elif column.length is not None and isinstance(df.schema[column.name].dataType, T.StringType):
+        sized = column.target_type in ("STRING", "BYTES") and isinstance(source, (T.StringType, T.BinaryType))
+        if sized and column.length is not None:
             found.append(F.when(too_long(column), f"{column.name}: longer than {column.length}"))
-    return df.withColumn("reasons", F.array_compact(F.array(*found)) if found else F.array().cast("array<string>"))
+    return df.withColumn(name, F.array_compact(F.array(*found)) if found else F.array().cast("array<string>"))
 
 
-def quarantine(df: DataFrame, spec: Sequence[TargetColumn]) -> tuple[DataFrame, DataFrame]:
+def quarantine(df: DataFrame, spec: Sequence[TargetColumn], name: str = "reasons") -> tuple[DataFrame, DataFrame]:
     """Split into rows that can be loaded and rejected rows with their reasons. Two narrow passes."""
-    marked = with_reasons(df, spec)
-    return marked.filter(F.size("reasons") == 0).drop("reasons"), marked.filter(F.size("reasons") > 0)
+    marked = with_reasons(df, spec, name)
+    return marked.filter(F.size(name) == 0).drop(name), marked.filter(F.size(name) > 0)
 
 
 def clean_text(df: DataFrame, column: str) -> DataFrame:
     """Replace a text column by its cleaned form; ``changed`` tells whether it differs."""
     value = F.col(f"`{column}`")
-    cleaned = df.withColumn("_clean", escape_description(value))
-    return cleaned.select(
-        *[F.col("_clean").alias(c) if c == column else F.col(f"`{c}`") for c in df.columns],
-        (F.col("_clean") != value).alias("changed"),
+    clean = escape_description(value)
+    return df.select(
+        *[clean.alias(c) if c == column else F.col(f"`{c}`") for c in df.columns],
+        (clean != value).alias("changed"),
     )

@@ -17,9 +17,6 @@ COLUMN_KEY = [*TABLE_KEY, "column_name"]
 # How many key columns the target takes, and how many clustering columns.
 MAX_KEY_COLUMNS = 16
 MAX_CLUSTER_COLUMNS = 4
-# Columns of one table gathered into one row. Sources stop at 1,000 columns per table, so a real
-# table is one part; anything larger is spread over several parts in order.
-PART_COLUMNS = 1000
 
 
 def is_flagged(flag: Column) -> Column:
@@ -27,10 +24,6 @@ def is_flagged(flag: Column) -> Column:
     return F.upper(flag) == "Y"
 
 
-def part_of(column_id: Column) -> Column:
-    return F.floor((column_id - 1) / PART_COLUMNS).cast("bigint")
-
-
 def type_columns(
     records: DataFrame, string_mode: str = "auto", preserve_string_length: bool = False
 ) -> DataFrame:
@@ -107,28 +100,57 @@ def schemas(records: DataFrame) -> DataFrame:
     return records.select("schema_name").filter(F.col("schema_name") != "").distinct().orderBy("schema_name")
 
 
+FLAGS = ("is_primary_key", "partition_yn", "cluster_yn")
+CONSTRAINT_NAMES = ("fk_constraint_name", "unique_constraint_name")
+
+
+def _name_set(column: str) -> Column:
+    """Aggregate: the distinct non-empty names in order, as one text."""
+    names_found = F.collect_set(F.nullif(F.col(column), F.lit("")))
+    return F.array_join(F.array_sort(names_found), ",")
+
+
 def dedupe(records: DataFrame) -> DataFrame:
-    """One row per (schema, table, column): the smallest row by position, then by every field.
+    """One row per (schema, table, column): the smallest row by position, then by every field, with
+    what the others add: a flag is Y if any row says so, NULLABLE is N if any row says so, and
+    constraint names are the ordered set of all of them, parted by commas.
 
     An aggregate with map-side combine, so repeats of one column never gather in a task.
     """
     rest = [c for c in records.columns if c not in COLUMN_KEY]
     ordered = ["column_id", *[c for c in rest if c != "column_id"]]
-    first = records.groupBy(*COLUMN_KEY).agg(F.min(F.struct(*ordered)).alias("_first"))
-    return first.select(*[F.col(c) if c in COLUMN_KEY else F.col(f"_first.`{c}`") for c in records.columns])
+    folds = {f: F.bool_or(is_flagged(F.col(f))) for f in FLAGS if f in rest}
+    sets = {n: _name_set(n) for n in CONSTRAINT_NAMES if n in rest}
+    found = records.groupBy(*COLUMN_KEY).agg(
+        F.min(F.struct(*ordered)).alias("_first"),
+        F.bool_or(F.col("nullable") == "N").alias("_required"),
+        *[value.alias(f"_{name}") for name, value in {**folds, **sets}.items()],
+    )
+
+    def shown(name: str) -> Column:
+        first = F.col(f"_first.`{name}`")
+        if name in folds:
+            return F.when(F.col(f"_{name}") & ~is_flagged(first), "Y").otherwise(first)
+        if name in sets:
+            return F.col(f"_{name}")
+        return F.when(F.col("_required"), "N").otherwise(first) if name == "nullable" else first
+
+    return found.select(*[F.col(c) if c in COLUMN_KEY else shown(c).alias(c) for c in records.columns])
 
 
 def fanout_report(records: DataFrame) -> DataFrame:
-    """Columns that appear more than once, with the number of rows and of constraint names."""
+    """Columns that appear more than once: their rows, how many differ in their constraint names,
+    and the ordered set of those names."""
+    per_name = records.groupBy(*COLUMN_KEY, *CONSTRAINT_NAMES).agg(F.count("*").alias("copies"))
+    both = F.array(*[F.nullif(F.col(n), F.lit("")) for n in CONSTRAINT_NAMES])
     return (
-        records.groupBy(*COLUMN_KEY, "fk_constraint_name", "unique_constraint_name")
-        .agg(F.count("*").alias("copies"))
-        .groupBy(*COLUMN_KEY)
+        per_name.groupBy(*COLUMN_KEY)
         .agg(
             F.sum("copies").alias("copies"),
             F.count("*").alias("variants"),
-            F.min("fk_constraint_name").alias("first_fk"),
-            F.min("unique_constraint_name").alias("first_unique"),
+            F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.array_compact(both))))), ",").alias(
+                "constraint_names"
+            ),
         )
         .filter(F.col("copies") > 1)
     )
@@ -164,11 +186,9 @@ def qualified_tables(records: DataFrame, project: str | None = names.DEFAULT_PRO
 
 
 def grouped_columns(typed: DataFrame) -> DataFrame:
-    """Columns of each table as ordered arrays of structs, at most ``PART_COLUMNS`` per row."""
+    """Columns of each table as one ordered array of structs: a row per table, as large as the table."""
     entry = F.struct("column_id", "column_name", "type_text", "nullable", "is_primary_key")
-    return typed.groupBy(*TABLE_KEY, part_of(F.col("column_id")).alias("part")).agg(
-        F.array_sort(F.collect_list(entry)).alias("columns")
-    )
+    return typed.groupBy(*TABLE_KEY).agg(F.array_sort(F.collect_list(entry)).alias("columns"))
 
 
 def partition_flags(records: DataFrame) -> DataFrame:
@@ -207,24 +227,19 @@ def partition_clauses(typed: DataFrame) -> DataFrame:
 def cluster_columns(records: DataFrame, max_columns: int | None = None) -> DataFrame:
     """Per table, the flagged clustering columns in order as one clause.
 
-    ``max_columns`` keeps the first ones (the target documents four); by default all are kept.
-    Only flagged rows are shuffled. Tables beyond ``PART_COLUMNS`` give one clause text per part.
+    ``max_columns`` keeps the first ones (the target documents four); by default all are kept, in one
+    row, as the clause is one text. Only flagged rows are shuffled.
     """
     flagged = records.filter(is_flagged(F.col("cluster_yn")) & (F.col("column_name") != ""))
     if max_columns is not None:
         place = F.row_number().over(Window.partitionBy(*TABLE_KEY).orderBy("column_id", "column_name"))
         flagged = flagged.withColumn("_place", place).filter(F.col("_place") <= max_columns)
-        part = F.lit(0).cast("bigint")
-    else:
-        part = part_of(F.col("column_id"))
-    entries = F.array_sort(F.collect_list(F.struct("column_id", "column_name")))
     quoted = F.transform(F.col("_entries"), lambda e: names.quote_name(e["column_name"]))
     return (
-        flagged.groupBy(*TABLE_KEY, part.alias("part"))
-        .agg(entries.alias("_entries"))
+        flagged.groupBy(*TABLE_KEY)
+        .agg(F.array_sort(F.collect_list(F.struct("column_id", "column_name"))).alias("_entries"))
         .select(
             *TABLE_KEY,
-            "part",
             F.size("_entries").cast("bigint").alias("cluster_columns"),
             F.concat(F.lit("CLUSTER BY "), F.array_join(quoted, ", ")).alias("clause"),
         )
@@ -232,27 +247,17 @@ def cluster_columns(records: DataFrame, max_columns: int | None = None) -> DataF
 
 
 def key_columns(records: DataFrame, limit: int = MAX_KEY_COLUMNS) -> DataFrame:
-    """Per table, the first ``limit`` primary-key columns in order.
-
-    Top-k per group: Spark cuts each task's rows to ``limit`` per table before the shuffle
-    (WindowGroupLimit), so a group never holds more than ``limit`` rows per task.
-    """
-    place = F.row_number().over(Window.partitionBy(*TABLE_KEY).orderBy("column_id", "column_name"))
-    first = (
-        records.filter(is_flagged(F.col("is_primary_key")))
-        .select(*TABLE_KEY, "column_id", "column_name")
-        .withColumn("key_position", place)
-        .filter(F.col("key_position") <= limit)
-    )
-    entries = F.array_sort(F.collect_list(F.struct("key_position", "column_name")))
+    """Per table, the first ``limit`` primary-key columns in order, and the names beyond them."""
+    flagged = records.filter(is_flagged(F.col("is_primary_key"))).select(*TABLE_KEY, "column_id", "column_name")
     quoted = F.transform(F.col("_entries"), lambda e: names.quote_name(e["column_name"]))
     return (
-        first.groupBy(*TABLE_KEY)
-        .agg(entries.alias("_entries"))
+        flagged.groupBy(*TABLE_KEY)
+        .agg(F.array_sort(F.collect_list(F.struct("column_id", "column_name"))).alias("_entries"))
         .select(
             *TABLE_KEY,
-            F.size("_entries").cast("bigint").alias("key_columns"),
-            F.array_join(quoted, ", ").alias("key_list"),
+            F.least(F.size("_entries"), F.lit(limit)).cast("bigint").alias("key_columns"),
+            F.array_join(F.slice(quoted, 1, limit), ", ").alias("key_list"),
+            F.array_join(F.slice(quoted, limit + 1, F.greatest(F.size("_entries"), F.lit(1))), ", ").alias("dropped_keys"),
         )
     )
 

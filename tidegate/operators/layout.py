@@ -5,14 +5,21 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 DAY = "day"
 
 
+def refuse_clash(df: DataFrame, name: str) -> None:
+    """A helper column must not replace one of the data; names differ in more than case."""
+    if name.lower() in {c.lower() for c in df.columns}:
+        raise ValueError(f"the data has a column {name}; choose another name for the helper column")
+
+
 def with_day(df: DataFrame, ts: str, name: str = DAY) -> DataFrame:
-    """Add the day of ``ts``, the column the files are partitioned by."""
+    """Add the day of ``ts``, the column the files are partitioned by; ``name`` must be free."""
+    refuse_clash(df, name)
     return df.withColumn(name, F.to_date(F.col(f"`{ts}`")))
 
 
@@ -21,24 +28,27 @@ def row_spread(df: DataFrame) -> Column:
     return F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
 
 
-def write_by_day(df: DataFrame, ts: str, path: str, mode: str = "errorifexists") -> None:
-    """Write Parquet partitioned by day.
+def day_writer(rows: DataFrame, mode: str) -> DataFrameWriter:
+    """A writer for ``errorifexists``, ``overwrite``, ``append``, or ``replace_days``, which replaces only
+    the partitions present in ``rows``; the session's own overwrite mode plays no part."""
+    if mode == "replace_days":
+        return rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    return rows.write.mode(mode).option("partitionOverwriteMode", "static")
+
+
+def write_by_day(df: DataFrame, ts: str, path: str, mode: str = "errorifexists", day: str = DAY) -> None:
+    """Write Parquet partitioned by day, in a column of the name ``day``.
 
     ``mode``: ``errorifexists`` creates, ``overwrite`` replaces the whole table, ``replace_days``
     replaces only the days present in ``df``, ``append`` adds. Rows are rebalanced by day first:
     few files per day, and a day that holds much of the table is split over several tasks.
     """
-    rows = with_day(df, ts).hint("rebalance", F.col(DAY))
-    writer = rows.write.partitionBy(DAY)
-    if mode == "replace_days":
-        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    else:
-        writer = writer.mode(mode).option("partitionOverwriteMode", "static")
-    writer.parquet(path)
+    rows = with_day(df, ts, day).hint("rebalance", F.col(day))
+    day_writer(rows, mode).partitionBy(day).parquet(path)
 
 
 def cluster_layout(
-    df: DataFrame, cluster_by: Sequence[str], ts: str | None = None, partitions: int | None = None
+    df: DataFrame, cluster_by: Sequence[str], ts: str | None = None, partitions: int | None = None, day: str = DAY
 ) -> DataFrame:
     """Co-locate rows by the clustering columns, within each day when ``ts`` is given.
 
@@ -46,11 +56,11 @@ def cluster_layout(
     rows is cut into neighbouring partitions instead of one. ``partitions`` is the number of ranges
     (for about 1 GB each); by default the session's shuffle partitions, merged where small.
     """
-    keys = [*([DAY] if ts else []), *cluster_by]
-    rows = with_day(df, ts) if ts else df
-    spread = rows.withColumn("_spread", row_spread(df))
+    keys = [*([day] if ts else []), *cluster_by]
+    rows = with_day(df, ts, day) if ts else df
     count = [partitions] if partitions else []
-    return spread.repartitionByRange(*count, *keys, "_spread").drop("_spread").sortWithinPartitions(*keys)
+    named = [F.col(f"`{key}`") for key in keys]
+    return rows.repartitionByRange(*count, *named, row_spread(df)).sortWithinPartitions(*named)
 
 
 def write_clustered(
@@ -60,11 +70,16 @@ def write_clustered(
     ts: str | None = None,
     mode: str = "errorifexists",
     partitions: int | None = None,
+    day: str = DAY,
 ) -> None:
-    """Write a clustered table: row groups then carry narrow min/max values of the keys."""
-    rows = cluster_layout(df, cluster_by, ts, partitions)
-    writer = rows.write.mode(mode)
-    (writer.partitionBy(DAY) if ts else writer).parquet(path)
+    """Write a clustered table: row groups then carry narrow min/max values of the keys.
+
+    ``replace_days`` needs ``ts``: it replaces the days present in ``df`` and leaves the others.
+    """
+    if mode == "replace_days" and not ts:
+        raise ValueError("days can only be replaced in a table that is partitioned by day")
+    writer = day_writer(cluster_layout(df, cluster_by, ts, partitions, day), mode)
+    (writer.partitionBy(day) if ts else writer).parquet(path)
 
 
 def _at(day: date, df: DataFrame, ts: str) -> Column:

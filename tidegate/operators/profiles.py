@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import decimal
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,12 +49,15 @@ def partition_candidates(df: DataFrame) -> DataFrame:
     entries = [F.struct(F.lit(c).alias("column_name"), F.to_date(F.col(f"`{c}`")).alias("day")) for c in columns]
     per_day = df.select(F.inline(F.array(*entries))).groupBy("column_name", "day").agg(F.count("*").alias("rows"))
     has_day = F.col("day").isNotNull()
-    return per_day.groupBy("column_name").agg(
+    counted = per_day.groupBy("column_name").agg(
         F.count("day").alias("days"),
         F.coalesce(F.min(F.when(has_day, F.col("rows"))), F.lit(0)).alias("min_rows_per_day"),
         F.coalesce(F.max(F.when(has_day, F.col("rows"))), F.lit(0)).alias("max_rows_per_day"),
         F.coalesce(F.sum(F.when(~has_day, F.col("rows"))), F.lit(0)).alias("null_rows"),
     )
+    # One row per candidate column is ranked.
+    order = Window.orderBy("null_rows", F.desc("days"), "column_name")
+    return counted.withColumn("rank", F.row_number().over(order).cast("bigint"))
 
 
 def rank_cluster_keys(
@@ -75,38 +79,52 @@ def rank_cluster_keys(
     return counted.orderBy(F.desc("distinct_values"), "column_name").limit(k)
 
 
-# Wide enough for money and measures, and its values compare without losing fraction digits.
-PROFILE_TYPE = T.DecimalType(28, 9)
+# What a double or a text is read as: 20 digits before the point and 18 after it.
+PROFILE_TYPE = T.DecimalType(38, 18)
+# Fraction digits that double arithmetic settles by itself.
+TESTED_PLACES = 9
 
 
 def _number_needs(df: DataFrame, name: str) -> tuple[Column, Column, Column]:
-    """(absolute value or NULL when unreadable, fraction digits, unreadable) for one column."""
+    """(absolute value or NULL when unreadable, fraction digits, unreadable) for one column.
+
+    Digits are counted on the value itself: a decimal in its own type, a text in the text, a double
+    by arithmetic and, where nine places don't settle it, in its decimal form. A double or text
+    with more than 18 fraction digits, or 1e19 and more, is unreadable.
+    """
     value, source = F.col(f"`{name}`"), df.schema[name].dataType
-    if isinstance(source, T.DoubleType):
-        # The first scale at which the double is k / 10^scale; plain arithmetic, no text.
-        readable = ~F.isnan(value) & (F.abs(value) < F.lit(1e19))
+    if isinstance(source, T.IntegralType):
+        return F.abs(value.cast("decimal(20,0)")), F.lit(0), F.lit(False)
+    if isinstance(source, T.DecimalType):
+        return F.abs(value), _fraction_digits(value.cast("string")) if source.scale else F.lit(0), F.lit(False)
+    exact = value.try_cast(PROFILE_TYPE)
+    if isinstance(source, (T.DoubleType, T.FloatType)):
+        value = value.cast("double")
         scale = F.when(F.rint(value) == value, 0)
-        for places in range(1, PROFILE_TYPE.scale):
+        for places in range(1, TESTED_PLACES):
             power = F.lit(10.0**places)
             scale = scale.when(F.rint(value * power) / power == value, places)
-        return F.when(readable, F.abs(value)), scale.otherwise(PROFILE_TYPE.scale), value.isNotNull() & ~readable
-    number = F.abs(value.try_cast(PROFILE_TYPE))
-    unreadable = value.isNotNull() & number.isNull()
-    if isinstance(source, T.IntegralType):
-        return number, F.lit(0), unreadable
-    return number, _fraction_digits(number), unreadable
-
-
-def _fraction_digits(number: Column) -> Column:
-    digits = F.substring_index(number.cast(PROFILE_TYPE).cast("string"), ".", -1)
+        settled = scale.isNotNull() | (exact.cast("double") == value)
+        readable = ~F.isnan(value) & (F.abs(value) < F.lit(1e19)) & F.coalesce(settled, F.lit(False))
+        fraction = F.coalesce(scale, _fraction_digits(exact.cast("string")))
+        return F.when(readable, F.abs(value)), fraction, value.isNotNull() & ~readable
+    text = F.trim(value.cast("string"))
+    plain = text.rlike(r"\A[+-]?[0-9]*(\.[0-9]{0,18}0*)?\z")
+    readable = plain & (F.abs(exact) < F.lit(decimal.Decimal(10**19)))
+    return F.when(readable, F.abs(exact)), _fraction_digits(text), value.isNotNull() & ~F.coalesce(readable, F.lit(False))
+
+
+def _fraction_digits(text: Column) -> Column:
+    """Digits after the point of a plain decimal text, without closing zeros."""
+    digits = F.when(text.contains("."), F.substring_index(text, ".", -1)).otherwise("")
     return F.char_length(F.rtrim(digits, F.lit("0")))
 
 
 def number_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Per numeric column: the digits needed before and after the point, and the type they give.
 
-    Settles columns whose source type names no precision. ``unreadable`` counts values outside 19
-    whole digits; the needed digits then describe the readable rest only. The largest value alone
+    Settles columns whose source type names no precision. ``unreadable`` counts values
+    that cannot be settled; the needed digits then describe the readable rest only. The largest value alone
     decides the whole digits, so text is made once per column, not per row.
     """
     aggregates: list[Column] = []
@@ -119,7 +137,10 @@ def number_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         ]
     totals = df.agg(*aggregates)
     for place in range(len(columns)):
-        whole = F.substring_index(F.col(f"largest_{place}").cast(PROFILE_TYPE).cast("string"), ".", 1)
+        largest = F.col(f"largest_{place}")
+        if isinstance(totals.schema[f"largest_{place}"].dataType, T.DoubleType):
+            largest = largest.cast(PROFILE_TYPE)
+        whole = F.substring_index(largest.cast("string"), ".", 1)
         totals = totals.withColumn(f"whole_{place}", F.char_length(F.ltrim(whole, F.lit("0"))).cast("bigint"))
     tall = _unpivot(totals, columns, ["whole", "scale", "unreadable"])
     precision = F.greatest(F.col("whole") + F.col("scale"), F.lit(1).cast("bigint"))

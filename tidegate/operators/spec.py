@@ -161,24 +161,35 @@ def _fit_number(value: Column, source: T.DataType, held: T.DataType, places: int
 
 
 def _fit_by_decimal(value: Column, source: T.DataType, held: T.DataType, round_to: int, whole_digits: int) -> Fit:
-    """Compare the value and its rounded form in one decimal type that has room for both. (Two
-    types would be compared in their common type, which may have no room for the fraction.)"""
+    """Round once, from the value as it is: a first rounding to a working type could make a tie of
+    what is none. Digits count as lost where the rounded value differs from the whole one."""
     scale = max(round_to, 0)
-    if whole_digits <= 19 and scale <= 8:
-        work = T.DecimalType(28, 9)
+    no = F.lit(False)
+    wide = T.DecimalType(38, max(scale, min(38 - whole_digits, scale + 18)))
+    if isinstance(source, T.DecimalType):
+        rounded = F.round(value, round_to)
+        # A value that no longer has room in its own type has grown by rounding.
+        lost = F.coalesce(rounded.try_cast(source) != value, value.isNotNull()) if source.scale > round_to else no
+    elif isinstance(source, T.StringType):
+        if round_to >= 0:
+            rounded = value.try_cast(T.DecimalType(38, scale))  # half up, from the text
+        else:
+            # Digits after the first one behind the point decide nothing left of it.
+            rounded = F.round(F.regexp_replace(value, r"(\.[0-9])[0-9]+", "$1").try_cast(T.DecimalType(38, 1)), round_to)
+        by_value = rounded.try_cast(wide) != value.try_cast(wide)
+        lost = F.when(value.rlike("[eE]"), by_value).otherwise(_digits_beyond(value, scale))
+        if round_to < 0:
+            lost = lost | by_value
     else:
-        work = T.DecimalType(38, max(scale, min(38 - whole_digits, scale + 9)))
-    exact = value.try_cast(work)
-    rounded = F.round(exact, round_to)
+        rounded = value.try_cast(T.DecimalType(38, scale))
+        if round_to < 0:
+            rounded = F.round(value.try_cast(wide), round_to)
+        lost = rounded.try_cast(wide) != value.try_cast(wide)
+        if wide.scale <= scale:
+            lost = F.round(value, round_to) != value
     converted = rounded.try_cast(held)
-    if work.scale > round_to:
-        lost = rounded.try_cast(work) != exact
-    elif isinstance(source, (T.DoubleType, T.FloatType)):
-        lost = F.round(value, round_to) != value
-    else:
-        lost = _digits_beyond(value.cast("string"), scale)
     misfit = value.isNotNull() & converted.isNull()
-    return Fit(converted, misfit, F.coalesce(converted.isNotNull() & lost, F.lit(False)))
+    return Fit(converted, misfit, F.coalesce(converted.isNotNull() & lost, no))
 
 
 def _double_bound(whole_digits: int, scale: int) -> float:
@@ -240,7 +251,28 @@ def _fit_long_number(value: Column, source: T.DataType, column: TargetColumn) ->
     return Fit(text, misfit, F.coalesce(~misfit & _digits_beyond(text, scale), F.lit(False)))
 
 
-def convert_table(df: DataFrame, spec: Sequence[TargetColumn]) -> DataFrame:
+def check_columns(df: DataFrame, spec: Sequence[TargetColumn], undeclared: str = "error") -> list[str]:
+    """The columns of ``df`` that the spec does not name; raises when one of the spec is missing,
+    or one is undeclared and that is an error."""
+    if undeclared not in ("error", "drop", "keep"):
+        raise ValueError(f"undeclared is error, drop or keep, not {undeclared!r}")
+    declared = {column.name for column in spec}
+    missing = sorted(declared - set(df.columns))
+    extra = [c for c in df.columns if c not in declared]
+    if missing:
+        raise ValueError(f"columns of the spec that the data lacks: {', '.join(missing)}")
+    if extra and undeclared == "error":
+        raise ValueError(f"columns that the spec does not declare: {', '.join(extra)}")
+    return extra
+
+
+def convert_table(df: DataFrame, spec: Sequence[TargetColumn], undeclared: str = "error") -> DataFrame:
     """Cast every column of the spec to its target type in one pass; values that do not fit become
-    NULL (``audits.fit_audit`` counts them, ``audits.quarantine`` keeps their rows)."""
-    return df.select(*[fit(df, column).converted.alias(column.name) for column in spec])
+    NULL (``audits.fit_audit`` counts them, ``audits.quarantine`` keeps their rows).
+
+    ``undeclared`` says what becomes of columns that the spec does not name: an ``error``, or
+    ``drop`` them, or ``keep`` them as they are, after the others.
+    """
+    extra = check_columns(df, spec, undeclared)
+    kept = [F.col(f"`{c}`") for c in extra] if undeclared == "keep" else []
+    return df.select(*[fit(df, column).converted.alias(column.name) for column in spec], *kept)

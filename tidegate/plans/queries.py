@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidegate.operators import audits, columns, layout, profiles
 from tidegate.operators.spec import SourceColumn, convert_table, resolve
 from tidegate.plans import sample_catalogs as samples
-from tidegate.plans.ddl import DdlOptions, table_ddl
+from tidegate.plans.ddl import DdlOptions, ddl_lines, table_ddl
 from tidegate.plans.extract import extract_catalog
 from tidegate.plans.migrate import migrate_table
 from tidegate.plans.report import migration_report
@@ -151,6 +151,47 @@ def report(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+FINE = (
+    SourceColumn("as_text", "NUMBER", "5", "0"),
+    SourceColumn("as_decimal", "NUMBER", "5", "0"),
+    SourceColumn("as_double", "NUMBER", "5", "0"),
+    SourceColumn("to_cents", "NUMBER", "10", "2"),
+    SourceColumn("to_hundreds", "NUMBER", "4", "-2"),
+)
+
+
+def fine_lines(lineitem: DataFrame) -> DataFrame:
+    """Values just below a tie, with twelve digits behind the point, as text, decimal and double."""
+    last = F.lpad((F.col("l_suppkey") % 100000).cast("string"), 5, "0")
+    fine = F.concat(F.col("l_linenumber").cast("string"), F.lit(".4999999"), last)
+    exact = fine.cast("decimal(38,18)")
+    return lineitem.select(
+        "l_orderkey",
+        "l_linenumber",
+        fine.alias("as_text"),
+        exact.alias("as_decimal"),
+        fine.cast("double").alias("as_double"),
+        exact.alias("to_cents"),
+        fine.alias("to_hundreds"),
+    )
+
+
+def small_lines(lineitem: DataFrame) -> DataFrame:
+    """Fractions down to the 15th place."""
+    small = F.concat(F.lit("0.0000000000"), F.lpad(F.col("l_linenumber").cast("string"), 5, "0"))
+    return lineitem.select(
+        small.cast("decimal(38,18)").alias("as_decimal"),
+        F.concat(small, F.lit("00")).alias("as_text"),
+        small.cast("double").alias("as_double"),
+        F.col("l_extendedprice").alias("price"),
+    )
+
+
+def convert_fine_digits(lineitem: DataFrame) -> DataFrame:
+    converted = convert_table(fine_lines(lineitem), resolve(FINE), undeclared="keep")
+    return converted.select("l_orderkey", "l_linenumber", *[c.name for c in FINE])
+
+
 def rejected(lineitem: DataFrame) -> DataFrame:
     _, bad = audits.quarantine(lineitem, resolve(LINEITEM))
     return bad.withColumn("reasons", F.array_join("reasons", "; "))
@@ -208,6 +249,27 @@ def migrate_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def migrate_replace_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A daily reload of a clustered table: days from the 16th on are replaced by their corrected clicks."""
+    path, rejected_path = shared_dir(spark, "reloaded"), shared_dir(spark, "reload-rejected")
+    events, spec = table(spark, sf_dir, "events"), resolve(EVENTS)
+    migrate_table(events, spec, path, rejected_path)
+    second_half = F.col("ts") >= F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
+    late = events.filter((F.col("event_type") == "click") & second_half)
+    migrate_table(late.withColumn("user_id", -F.col("user_id")), spec, path, rejected_path, mode="replace_days")
+    return spark.read.parquet(path).select("event_id", "ts", "user_id", "event_type", "day")
+
+
+def snapshot_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dictionary views written as snapshot files and read back for one owner's tables, some by name."""
+    path = shared_dir(spark, "snapshots")
+    views = samples.dictionary_views(table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem"))
+    for name, view in dictionary.VIEW_NAMES.items():
+        getattr(views, name).write.parquet(f"{path}/ALL_{view}")
+    back = dictionary.read_snapshots(spark, path)
+    return extract_catalog(back, "tables", owners=["SCHEMA1", "SCHEMA3"], like="T1%")
+
+
 def _wide_ddl(spark: SparkSession, sf_dir: str, options: DdlOptions) -> DataFrame:
     return table_ddl(columns.type_columns(samples.wide_catalog(table(spark, sf_dir, "lineitem"))), options)
 
@@ -224,14 +286,15 @@ FULL_DDL = DdlOptions(
 def merged_ddl(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "merged-ddl")
     catalog = samples.wide_catalog(table(spark, sf_dir, "lineitem"))
-    ddl = table_ddl(columns.type_columns(catalog))
-    files.write_merged(ddl, columns.table_count(catalog), path, GENERATED_ON)
+    lines = ddl_lines(columns.type_columns(catalog))
+    files.write_merged(lines, columns.table_count(catalog), path, GENERATED_ON)
     return spark.read.text(path)
 
 
 def ddl_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "ddl-files")
-    files.write_per_table(_wide_ddl(spark, sf_dir, DdlOptions()), path)
+    catalog = samples.wide_catalog(table(spark, sf_dir, "lineitem"))
+    files.write_per_table(ddl_lines(columns.type_columns(catalog)), path)
     return spark.read.schema("value string, schema_name string, table_name string").text(path)
 
 
@@ -267,7 +330,6 @@ def grouped_columns(records: DataFrame) -> DataFrame:
     listed = F.transform("columns", lambda c: F.concat_ws(" ", c["column_name"], c["type_text"], c["nullable"]))
     return columns.grouped_columns(columns.type_columns(records)).select(
         *columns.TABLE_KEY,
-        "part",
         F.size("columns").cast("bigint").alias("n_columns"),
         F.array_join(listed, ", ").alias("column_list"),
     )
@@ -276,6 +338,8 @@ def grouped_columns(records: DataFrame) -> DataFrame:
 QUERIES: dict[str, Query] = {
     # Audits and conversion of table data
     "fit_audit": _on("lineitem", lambda t: audits.fit_audit(t, resolve(LINEITEM))),
+    "fit_audit_fine_digits": _on("lineitem", lambda t: audits.fit_audit(fine_lines(t), resolve(FINE))),
+    "convert_fine_digits": _on("lineitem", convert_fine_digits),
     "fit_audit_documents": _on("documents", lambda t: audits.fit_audit(t, resolve(DOCUMENTS))),
     "convert_orders": _on("orders", lambda t: convert_table(t, resolve(ORDERS))),
     "length_audit": _on("documents", lambda t: audits.length_audit(t, resolve(DOCUMENTS))),
@@ -298,17 +362,25 @@ QUERIES: dict[str, Query] = {
             t, ["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
         ),
     ),
+    "number_profile_small": _on(
+        "lineitem",
+        lambda t: profiles.number_profile(small_lines(t), ["as_decimal", "as_text", "as_double", "price"]),
+    ),
     "day_profile": _on("events", lambda t: profiles.day_profile(t, "ts")),
     "day_profile_lineitem": _on("lineitem", lambda t: profiles.day_profile(t, "l_shipdate")),
     "partition_candidates": partition_candidates,
     "rank_cluster_keys": _on("lineitem", lambda t: profiles.rank_cluster_keys(t, CLUSTER_CANDIDATES, exact=True)),
-    "rank_cluster_keys_approx": _on("lineitem", lambda t: profiles.rank_cluster_keys(t, CLUSTER_CANDIDATES)),
+    # The names alone: the estimates behind them differ from the exact counts, the ranking does not.
+    "rank_cluster_keys_approx": _on(
+        "lineitem", lambda t: profiles.rank_cluster_keys(t, CLUSTER_CANDIDATES).select("column_name")
+    ),
     # Layout
     "write_by_day": write_by_day,
     "replace_days": replace_days,
     "read_days": read_days,
     "cluster_layout": cluster_layout,
     "migrate_events": migrate_events,
+    "migrate_replace_days": migrate_replace_days,
     "expire_days": _on("events", lambda t: layout.expire_partitions(t, "ts", date(2024, 1, 31), 10)),
     "expired_days": _on("events", lambda t: layout.expired_days(t, "ts", date(2024, 1, 31), 10)),
     # Catalog intake and extract
@@ -325,8 +397,10 @@ QUERIES: dict[str, Query] = {
     "extract_simple": _extract(variant="simple"),
     "extract_user": _extract(variant="user", user="MIGRATOR"),
     "extract_tables": _extract(
-        variant="tables", owners=["SCHEMA0", "SCHEMA1", "SCHEMA2", "SCHEMA3", "SCHEMA4"], like="T%"
+        variant="tables", owners=["SCHEMA1", "SCHEMA3"], like="T1%"
     ),
+    "extract_snapshots": snapshot_extract,
+    "extract_named_tables": _extract(variant="simple", tables=["T1", "T2", "T33", "T100"]),
     # Catalog operators
     "type_map": _narrow(columns.type_columns),
     "type_map_lengths": _narrow(
@@ -353,6 +427,12 @@ QUERIES: dict[str, Query] = {
     # Definitions
     "ddl_per_table": lambda spark, sf_dir: _wide_ddl(spark, sf_dir, DdlOptions()),
     "ddl_replace_options": lambda spark, sf_dir: _wide_ddl(spark, sf_dir, FULL_DDL),
+    "ddl_lines_huge_tables": _on(
+        "lineitem",
+        lambda t: ddl_lines(columns.type_columns(samples.huge_catalog(t))).select(
+            *columns.TABLE_KEY, F.col("line").alias("value")
+        ),
+    ),
     "merged_ddl": merged_ddl,
     "ddl_files": ddl_files,
     "catalog_to_ddl": catalog_to_ddl,

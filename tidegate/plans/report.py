@@ -41,7 +41,7 @@ def migration_report(
             add("length", column.name, audits.too_long(column))
     for name, condition in checks.items():
         add("check", name, ~F.expr(condition))
-    report = audits.count_tall(df, rows)
+    report = audits.count_tall(df, rows, "check string, subject string, violations long")
 
     def total(check: str, subject: str, broken: DataFrame, rows: str) -> DataFrame:
         return broken.agg(F.coalesce(F.sum(rows), F.lit(0)).alias("violations")).select(

@@ -7,7 +7,7 @@ dictionary views describe one source table per order.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegate.operators.positions import dense_positions
@@ -93,6 +93,22 @@ def wide_catalog(lineitem: DataFrame) -> DataFrame:
     return catalog_records(wide_extract(lineitem))
 
 
+def huge_catalog(lineitem: DataFrame) -> DataFrame:
+    """One table per schema with all its lines as columns; positions have gaps and repeat."""
+    line = ["l_orderkey", "l_linenumber"]
+    copy = F.row_number().over(Window.partitionBy(*line).orderBy(*[c for c in lineitem.columns if c not in line]))
+    name = F.concat_ws("_", _label("L", F.col("l_orderkey")), F.col("l_linenumber").cast("string"), copy.cast("string"))
+    return catalog_records(
+        lineitem.select(
+            _label("SCHEMA", F.col("l_orderkey") % 5).alias("OWNER"),
+            F.lit("ALL_LINES").alias("TABLE_NAME"),
+            name.alias("COLUMN_NAME"),
+            (F.col("l_orderkey") * 10).cast("string").alias("COLUMN_ID"),
+            *_described(lineitem),
+        )
+    )
+
+
 # Constraints of every sample source table: name prefix, kind, and the columns it covers.
 SAMPLE_CONSTRAINTS = [
     ("PK_T", "P", ["C1", "C2"]),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from tidegate.functions.names import RESERVED_WORDS
 from tidegate.functions.text import WHITE_SPACE
-from tidegate.operators.columns import MAX_CLUSTER_COLUMNS, MAX_KEY_COLUMNS, PART_COLUMNS
+from tidegate.operators.columns import MAX_CLUSTER_COLUMNS, MAX_KEY_COLUMNS
 from tidegate.plans.ddl import RULE
 from tidegate.plans.sample_catalogs import SAMPLE_CONSTRAINTS, SOURCE_TYPES
 
@@ -56,6 +56,44 @@ cat AS (
     CAST(place AS BIGINT) AS column_id, {_DESCRIBED}
   FROM placed)"""
 
+# One table per schema with all lines as its columns; positions have gaps and repeat.
+HUGE = f"""
+cat AS (
+  SELECT 'SCHEMA' || (l_orderkey % 5) AS schema_name, 'ALL_LINES' AS table_name,
+    'L' || l_orderkey || '_' || l_linenumber || '_' || row_number() OVER (
+        PARTITION BY l_orderkey, l_linenumber
+        ORDER BY l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus,
+                 l_shipdate) AS column_name,
+    CAST(l_orderkey * 10 AS BIGINT) AS column_id, {_DESCRIBED}
+  FROM lineitem)"""
+
+# The order of the rows of one column, without what is the same in all extracts.
+EXTRACT_ORDER = """column_id, data_type, data_precision, data_scale, char_length, data_length, nullable, is_primary_key,
+  fk_constraint_name, unique_constraint_name, column_comment, partition_yn, cluster_yn"""
+RECORD_ORDER = EXTRACT_ORDER.replace("column_comment", "default_value, data_default, column_comment")
+
+
+def _folded(source: str, order: str) -> str:
+    """The first row of each column, with the flags and constraint names of all its rows."""
+
+    def flag(name: str) -> str:
+        return f"""CASE WHEN bool_or(upper({name}) = 'Y') OVER w AND upper({name}) <> 'Y' THEN 'Y' ELSE {name} END AS {name}"""
+
+    def name_set(name: str) -> str:
+        names = f"list({name}) FILTER ({name} <> '') OVER w"
+        return f"coalesce(array_to_string(list_sort(list_distinct({names})), ','), '') AS {name}"
+
+    return f"""folded AS (
+  SELECT * EXCLUDE (place) FROM (
+    SELECT * REPLACE ({flag("is_primary_key")}, {flag("partition_yn")}, {flag("cluster_yn")},
+        {name_set("fk_constraint_name")}, {name_set("unique_constraint_name")},
+        CASE WHEN bool_or(nullable = 'N') OVER w THEN 'N' ELSE nullable END AS nullable),
+      row_number() OVER (PARTITION BY schema_name, table_name, column_name ORDER BY {order}) AS place
+    FROM {source}
+    WINDOW w AS (PARTITION BY schema_name, table_name, column_name))
+  WHERE place = 1)"""
+
+
 RECORD = """schema_name, table_name, column_name, data_type, data_precision, data_scale, char_length,
   data_length, nullable, is_primary_key, fk_constraint_name, unique_constraint_name, default_value,
   data_default, column_comment, partition_yn, cluster_yn"""
@@ -164,11 +202,13 @@ first_partition AS (
 
 _KEYS = f"""
 keys AS (
-  SELECT schema_name, table_name, count(*) AS key_columns,
-    string_agg({_quote("column_name")}, ', ' ORDER BY column_id, column_name) AS key_list
+  SELECT schema_name, table_name, count(*) FILTER (place <= {MAX_KEY_COLUMNS}) AS key_columns,
+    string_agg({_quote("column_name")}, ', ' ORDER BY column_id, column_name)
+      FILTER (place <= {MAX_KEY_COLUMNS}) AS key_list,
+    coalesce(string_agg({_quote("column_name")}, ', ' ORDER BY column_id, column_name)
+      FILTER (place > {MAX_KEY_COLUMNS}), '') AS dropped_keys
   FROM (SELECT *, row_number() OVER (PARTITION BY schema_name, table_name ORDER BY column_id, column_name) AS place
         FROM cat WHERE upper(is_primary_key) = 'Y')
-  WHERE place <= {MAX_KEY_COLUMNS}
   GROUP BY ALL)"""
 
 
@@ -176,7 +216,7 @@ def _clusters(limit: int | None) -> str:
     kept = f"WHERE place <= {limit}" if limit else ""
     return f"""
 clusters AS (
-  SELECT schema_name, table_name, CAST(0 AS BIGINT) AS part, count(*) AS cluster_columns,
+  SELECT schema_name, table_name, count(*) AS cluster_columns,
     'CLUSTER BY ' || string_agg({_quote("column_name")}, ', ' ORDER BY column_id, column_name) AS clause
   FROM (SELECT *, row_number() OVER (PARTITION BY schema_name, table_name ORDER BY column_id, column_name) AS place
         FROM cat WHERE upper(cluster_yn) = 'Y')
@@ -227,8 +267,7 @@ ddl AS (
   LEFT JOIN clusters c ON b.schema_name = c.schema_name AND b.table_name = c.table_name)"""
 
 
-_DDL_ROWS = """SELECT schema_name, table_name, CAST(0 AS INT) AS section, CAST(0 AS BIGINT) AS part, ddl,
-  true AS opens, true AS closes FROM ddl"""
+_DDL_ROWS = "SELECT schema_name, table_name, ddl FROM ddl"
 
 # --- the dictionary views and the extract ----------------------------------------------------------
 
@@ -321,6 +360,8 @@ def _extract_keys(owner: str, where: str) -> str:
   FROM all_tab_columns a {_COMMON_JOINS} {_kind("pk", "P")} {where}"""
 
 
+_TABLES_OF_TWO = f"""WITH {DICTIONARY} {_extract_keys("a.OWNER", "WHERE a.TABLE_NAME LIKE 'T1%' AND a.OWNER IN ('SCHEMA1', 'SCHEMA3')")}"""
+
 # The extract as catalog records, one row per column: the smallest row by position and then by
 # every other field.
 EXTRACTED = f"""{DICTIONARY},
@@ -335,20 +376,19 @@ records AS (
     '' AS default_value, '' AS data_default, coalesce(COLUMN_COMMENT, '') AS column_comment,
     PARTITION_YN AS partition_yn, CLUSTER_YN AS cluster_yn, CAST(COLUMN_ID AS BIGINT) AS column_id
   FROM extracted),
-cat AS (
-  SELECT * EXCLUDE (place) FROM (
-    SELECT *, row_number() OVER (
-        PARTITION BY schema_name, table_name, column_name
-        ORDER BY column_id, data_type, data_precision, data_scale, char_length, data_length, nullable, is_primary_key,
-          fk_constraint_name, unique_constraint_name, column_comment, partition_yn, cluster_yn) AS place
-    FROM records)
-  WHERE place = 1)"""
+{_folded("records", EXTRACT_ORDER)},
+cat AS (SELECT * FROM folded)"""
 
 # --- audits of table data ----------------------------------------------------------------------------
 
 
-def _number_fit(column: str, cast: str, places: int, work: str = "DECIMAL(28,9)") -> tuple[str, str]:
-    exact = f"TRY_CAST({column} AS {work})"
+# A value as a number with 20 digits before the point and 18 after it, read from its text.
+def _exact(column: str) -> str:
+    return f"TRY_CAST(CAST({column} AS VARCHAR) AS DECIMAL(38,18))"
+
+
+def _number_fit(column: str, cast: str, places: int, work: str = "DECIMAL(38,18)") -> tuple[str, str]:
+    exact = _exact(column)
     rounded = f"round({exact}, {places})"
     misfit = f"{column} IS NOT NULL AND TRY_CAST({rounded} AS {cast}) IS NULL"
     lost = f"TRY_CAST({rounded} AS {cast}) IS NOT NULL AND TRY_CAST({rounded} AS {work}) <> {exact}"
@@ -401,8 +441,28 @@ _REASONS = ", ".join(
 )
 
 
-def _convert(column: str, cast: str, places: int, work: str = "DECIMAL(28,9)") -> str:
-    return f"TRY_CAST(round(TRY_CAST({column} AS {work}), {places}) AS {cast}) AS {column}"
+def _convert(column: str, cast: str, places: int) -> str:
+    return f"TRY_CAST(round({_exact(column)}, {places}) AS {cast}) AS {column}"
+
+
+# Values of 12 digits behind the point that lie just below a tie, as text, decimal and double.
+FINE_LINES = """(SELECT l_orderkey, l_linenumber, fine AS as_text, CAST(fine AS DECIMAL(38,18)) AS as_decimal,
+    CAST(fine AS DOUBLE) AS as_double, CAST(fine AS DECIMAL(38,18)) AS to_cents, fine AS to_hundreds
+  FROM (SELECT *, CAST(l_linenumber AS VARCHAR) || '.4999999' || lpad(CAST(l_suppkey % 100000 AS VARCHAR), 5, '0') AS fine
+    FROM lineitem))"""
+FINE_TYPES = {
+    "as_text": ("INT64", _number_fit("as_text", "BIGINT", 0)),
+    "as_decimal": ("INT64", _number_fit("as_decimal", "BIGINT", 0)),
+    "as_double": ("INT64", _number_fit("as_double", "BIGINT", 0)),
+    "to_cents": ("NUMERIC(10, 2)", _number_fit("to_cents", "DECIMAL(10,2)", 2)),
+    "to_hundreds": ("NUMERIC(4, -2)", _number_fit("to_hundreds", "DECIMAL(6,0)", -2)),
+}
+# Fractions down to the 15th place.
+SMALL_LINES = """(SELECT CAST('0.0000000000' || lpad(CAST(l_linenumber AS VARCHAR), 5, '0') AS DECIMAL(38,18)) AS as_decimal,
+    '0.0000000000' || lpad(CAST(l_linenumber AS VARCHAR), 5, '0') || '00' AS as_text,
+    CAST('0.0000000000' || lpad(CAST(l_linenumber AS VARCHAR), 5, '0') AS DOUBLE) AS as_double,
+    l_extendedprice AS price
+  FROM lineitem)"""
 
 
 def _length(column: str, declared: int) -> str:
@@ -469,13 +529,24 @@ def _report() -> str:
     return "\nUNION ALL\n".join(rows)
 
 
-def _profile(column: str) -> str:
-    number = f"CAST(abs(TRY_CAST({column} AS DECIMAL(28,9))) AS VARCHAR)"
+def _profile(column: str, table: str = "lineitem") -> str:
+    number = f"CAST(abs({_exact(column)}) AS VARCHAR)"
     return f"""SELECT '{column}' AS column_name,
   max(length(ltrim(split_part({number}, '.', 1), '0'))) AS whole,
   max(length(rtrim(split_part({number}, '.', 2), '0'))) AS scale,
   count(*) FILTER ({column} IS NOT NULL AND {number} IS NULL) AS unreadable
-FROM lineitem"""
+FROM {table}"""
+
+
+def _profiles(parts: list[str]) -> str:
+    return f"""WITH needs AS ({" UNION ALL ".join(parts)}),
+sized AS (SELECT column_name, greatest(whole + scale, 1) AS precision, scale, unreadable FROM needs)
+SELECT *, CASE WHEN scale = 0 AND precision <= 18 THEN 'INT64' WHEN scale = 0 AND precision > 29 THEN 'BIGNUMERIC'
+               WHEN scale > 9 THEN 'BIGNUMERIC' ELSE 'NUMERIC' END AS target_type,
+  CASE WHEN scale = 0 AND precision <= 18 THEN 'INT64'
+       WHEN scale > 9 OR scale = 0 AND precision > 29 THEN 'BIGNUMERIC(' || precision || ', ' || scale || ')'
+       ELSE 'NUMERIC(' || precision || ', ' || scale || ')' END AS type_text
+FROM sized"""
 
 
 _PROFILE_COLUMNS = ["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -505,8 +576,12 @@ def _lines_of(text: str, keys: str = "") -> str:
 
 SQL: dict[str, str] = {
     "fit_audit": _fit_audit("lineitem", LINEITEM_TYPES),
+    "fit_audit_fine_digits": _fit_audit(FINE_LINES, FINE_TYPES),
+    "convert_fine_digits": f"""SELECT l_orderkey, l_linenumber, {_convert("as_text", "BIGINT", 0)},
+  {_convert("as_decimal", "BIGINT", 0)}, {_convert("as_double", "BIGINT", 0)}, {_convert("to_cents", "DECIMAL(10,2)", 2)},
+  {_convert("to_hundreds", "DECIMAL(6,0)", -2)} FROM {FINE_LINES}""",
     "fit_audit_documents": _fit_audit("documents", DOCUMENT_TYPES),
-    "convert_orders": f"""SELECT o_orderkey, {_convert("o_custkey", "DECIMAL(38,9)", 9, "DECIMAL(38,9)")},
+    "convert_orders": f"""SELECT o_orderkey, {_convert("o_custkey", "DECIMAL(38,9)", 9)},
   o_orderstatus, {_convert("o_totalprice", "DECIMAL(7,1)", 1)}, o_orderdate, o_orderpriority FROM orders""",
     "length_audit": "\nUNION ALL\n".join([_length("text", 4000), _length("lang", 2), _length("source", 4)]),
     "not_null_audit": "\nUNION ALL\n".join(map(_not_null, ["l_orderkey", "o_custkey", "o_orderdate"])),
@@ -534,20 +609,26 @@ FROM lineitem WHERE concat_ws('; ', {_REASONS}) = ''""",
     "migration_report": _report(),
     "clean_text": f"""SELECT doc_id, {_clean("text")} AS text, lang, source, n_chars, {_clean("text")} <> text AS changed
 FROM documents""",
-    "number_profile": f"""WITH needs AS ({" UNION ALL ".join(map(_profile, _PROFILE_COLUMNS))}),
-sized AS (SELECT column_name, greatest(whole + scale, 1) AS precision, scale, unreadable FROM needs)
-SELECT *, CASE WHEN scale = 0 AND precision <= 18 THEN 'INT64' WHEN scale = 0 AND precision > 29 THEN 'BIGNUMERIC'
-               ELSE 'NUMERIC' END AS target_type,
-  CASE WHEN scale = 0 AND precision <= 18 THEN 'INT64' WHEN scale = 0 AND precision > 29
-       THEN 'BIGNUMERIC(' || precision || ', ' || scale || ')'
-       ELSE 'NUMERIC(' || precision || ', ' || scale || ')' END AS type_text
-FROM sized""",
+    "number_profile": _profiles([_profile(c) for c in _PROFILE_COLUMNS]),
+    "number_profile_small": _profiles([_profile(c, SMALL_LINES) for c in ("as_decimal", "as_text", "as_double", "price")]),
     "day_profile": _day_profile("events", "ts"),
     "day_profile_lineitem": _day_profile("lineitem", "l_shipdate"),
-    "partition_candidates": "\nUNION ALL\n".join(map(_candidate, ["l_shipdate", "o_orderdate"])),
+    "partition_candidates": f"""SELECT *, row_number() OVER (ORDER BY null_rows, days DESC, column_name) AS rank
+FROM ({" UNION ALL ".join(map(_candidate, ["l_shipdate", "o_orderdate"]))})""",
     "rank_cluster_keys": f"""SELECT * FROM ({" UNION ALL ".join(map(
         _distinct_values, ["l_partkey", "l_suppkey", "l_orderkey", "l_returnflag", "l_linestatus"]))})
 ORDER BY distinct_values DESC, column_name LIMIT 4""",
+    "rank_cluster_keys_approx": f"""SELECT column_name FROM (SELECT * FROM ({" UNION ALL ".join(map(
+        _distinct_values, ["l_partkey", "l_suppkey", "l_orderkey", "l_returnflag", "l_linestatus"]))})
+ORDER BY distinct_values DESC, column_name LIMIT 4)""",
+    "migrate_replace_days": """WITH loadable AS (SELECT * FROM events WHERE length(event_type) <= 6
+  AND (value IS NULL OR abs(round(CAST(CAST(value AS VARCHAR) AS DECIMAL(38,18)), 2)) < 100))
+SELECT event_id, ts, user_id, event_type, CAST(ts AS DATE) AS day FROM loadable WHERE ts < TIMESTAMP '2024-01-16'
+   OR CAST(ts AS DATE) NOT IN (SELECT CAST(ts AS DATE) FROM loadable WHERE event_type = 'click'
+                               AND ts >= TIMESTAMP '2024-01-16')
+UNION ALL
+SELECT event_id, ts, -user_id AS user_id, event_type, CAST(ts AS DATE) AS day FROM loadable
+WHERE event_type = 'click' AND ts >= TIMESTAMP '2024-01-16'""",
     "write_by_day": "SELECT *, CAST(ts AS DATE) AS day FROM events",
     "replace_days": """SELECT *, CAST(ts AS DATE) AS day FROM events WHERE ts < TIMESTAMP '2024-01-16'
    OR CAST(ts AS DATE) NOT IN (SELECT CAST(ts AS DATE) FROM events WHERE event_type = 'click'
@@ -579,8 +660,10 @@ SELECT OWNER, NAME AS TABLE_NAME, COLUMN_NAME, COLUMN_POSITION FROM all_part_key
     "extract_full": f"WITH {DICTIONARY} {_EXTRACT_FULL}",
     "extract_simple": f"WITH {DICTIONARY} {_EXTRACT_SIMPLE}",
     "extract_user": f"WITH {DICTIONARY} {_extract_keys(chr(39) + 'MIGRATOR' + chr(39) + ' AS OWNER', '')}",
-    "extract_tables": f"WITH {DICTIONARY} {_extract_keys('a.OWNER', '''WHERE a.TABLE_NAME LIKE 'T%'
-    AND a.OWNER IN ('SCHEMA0', 'SCHEMA1', 'SCHEMA2', 'SCHEMA3', 'SCHEMA4')''')}",
+    "extract_tables": _TABLES_OF_TWO,
+    "extract_snapshots": _TABLES_OF_TWO,
+    "extract_named_tables": f"""WITH {DICTIONARY} {_EXTRACT_SIMPLE}
+  WHERE a.TABLE_NAME IN ('T1', 'T2', 'T33', 'T100')""",
     "type_map": f"WITH {NARROW}, {typed()} SELECT {RECORD}, column_id, target_type, type_text, spark_type FROM typed",
     "type_map_lengths": f"""WITH {NARROW}, {typed(keep_length=True)}
 SELECT schema_name, table_name, column_name, char_length, target_type, type_text FROM typed""",
@@ -593,19 +676,14 @@ FROM typed GROUP BY ALL""",
 SELECT schema_name, count(DISTINCT table_name) AS tables, count(*) AS columns FROM cat GROUP BY ALL""",
     "table_count": f"WITH {NARROW} SELECT count(DISTINCT (schema_name, table_name)) AS tables FROM cat",
     "schemas": f"WITH {NARROW} SELECT DISTINCT schema_name FROM cat WHERE schema_name <> '' ORDER BY 1",
-    "catalog_dedupe": f"""WITH {NARROW}
-SELECT {RECORD}, column_id FROM (
-  SELECT *, row_number() OVER (
-      PARTITION BY schema_name, table_name, column_name
-      ORDER BY column_id, data_type, data_precision, data_scale, char_length, data_length, nullable, is_primary_key,
-        fk_constraint_name, unique_constraint_name, default_value, data_default, column_comment, partition_yn,
-        cluster_yn) AS place
-  FROM cat)
-WHERE place = 1""",
+    "catalog_dedupe": f"""WITH {NARROW}, {_folded("cat", RECORD_ORDER)}
+SELECT {RECORD}, column_id FROM folded""",
     "fanout_report": f"""WITH {NARROW}
 SELECT schema_name, table_name, column_name, count(*) AS copies,
   count(DISTINCT (fk_constraint_name, unique_constraint_name)) AS variants,
-  min(fk_constraint_name) AS first_fk, min(unique_constraint_name) AS first_unique
+  coalesce(array_to_string(list_sort(list_distinct(list_concat(
+    list(DISTINCT fk_constraint_name) FILTER (fk_constraint_name <> ''),
+    list(DISTINCT unique_constraint_name) FILTER (unique_constraint_name <> '')))), ','), '') AS constraint_names
 FROM cat GROUP BY ALL HAVING count(*) > 1""",
     "column_definitions": f"""WITH {NARROW}, {typed()}
 SELECT schema_name, table_name, column_id, column_name, {_DEFINITION} AS definition FROM typed""",
@@ -613,7 +691,7 @@ SELECT schema_name, table_name, column_id, column_name, {_DEFINITION} AS definit
 SELECT DISTINCT schema_name, table_name, '`your_project.' || schema_name || '.' || table_name || '`' AS full_name
 FROM cat""",
     "grouped_columns": f"""WITH {WIDE}, {typed()}
-SELECT schema_name, table_name, (column_id - 1) // {PART_COLUMNS} AS part, count(*) AS n_columns,
+SELECT schema_name, table_name, count(*) AS n_columns,
   string_agg(column_name || ' ' || type_text || ' ' || nullable, ', ' ORDER BY column_id, column_name) AS column_list
 FROM typed GROUP BY ALL""",
     "partition_flags": f"""WITH {NARROW}
@@ -652,6 +730,7 @@ texts AS (
     || '{RULE}' || chr(10) || chr(10) || ddl || chr(10) FROM ddl)
 {_lines_of("text")} FROM texts""",
     "ddl_files": f"""WITH {ddl(WIDE)} {_lines_of("ddl", "schema_name, table_name,")} FROM ddl""",
+    "ddl_lines_huge_tables": f"WITH {ddl(HUGE)} {_lines_of('ddl', 'schema_name, table_name,')} FROM ddl",
     "csv_to_ddl": f"WITH {ddl(WIDE)} {_DDL_ROWS}",
     "catalog_to_ddl": f"WITH {ddl(EXTRACTED, keep_length=True)} {_DDL_ROWS}",
 }

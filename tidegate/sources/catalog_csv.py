@@ -98,8 +98,8 @@ def read_catalog_csv(
 def catalog_records(raw: DataFrame, input_order: bool = False) -> DataFrame:
     """The 17 record fields plus ``column_id``, from a frame with any of the known headers.
 
-    Rows without a table name are skipped. ``column_id`` is COLUMN_ID where the header exists,
-    else, or with ``input_order``, the row's place within its table in the order of the input.
+    Rows without a table name are skipped. ``column_id`` is COLUMN_ID where the header exists
+    (rows where it is blank come last, in input order), else, or with ``input_order``, the row's place within its table in the order of the input.
     """
     present = {name.upper(): name for name in raw.columns}
 
@@ -111,7 +111,9 @@ def catalog_records(raw: DataFrame, input_order: bool = False) -> DataFrame:
 
     fields = [field(name) for name in RECORD_FIELDS]
     if "COLUMN_ID" in present and not input_order:
-        place = F.coalesce(parse_int(F.col(f"`{present['COLUMN_ID']}`").cast("string")), F.lit(0).cast("bigint"))
+        # Rows without a number follow the others of their table, in the order of the input.
+        unnumbered = F.lit(1 << 61) + F.monotonically_increasing_id()
+        place = F.coalesce(parse_int(F.col(f"`{present['COLUMN_ID']}`").cast("string")), unnumbered)
         return raw.select(*fields, place.alias("column_id")).filter(F.col("table_name") != "")
     rows = raw.select(*fields, F.monotonically_increasing_id().alias("input_row"))
     return dense_positions(

@@ -337,3 +337,11 @@ def test_fanout_and_limits(spark):
     assert set(found) == {"T", "U", "V"}
     assert (found["U"].key_columns, found["U"].cluster_columns, found["T"].partition_flags) == (17, 17, 2)
     assert found["V"].unsupported_partition and not found["T"].unsupported_partition
+
+
+def test_bytes_of_no_known_encoding_raise(spark, tmp_path):
+    path = _write(tmp_path / "latin.csv", HEADER + "T,S,C1,NUMBER,10,0,,Y,N,café réel\n", "latin-1")
+    with pytest.raises(ValueError, match="latin.csv"):
+        read_catalog_csv(spark, path)
+    named = read_catalog_csv(spark, path, encoding="ISO-8859-1").collect()
+    assert named[0].column_comment == "café réel"

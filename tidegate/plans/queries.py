@@ -96,40 +96,34 @@ def _extract(**options) -> Query:
     return run
 
 
-def _open_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") != "F")
-
-
-def _lines_with_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines with their order's facts, NULL where the order is finished: gives NULLs to audit."""
-    lines = table(spark, sf_dir, "lineitem")
-    return lines.join(_open_orders(spark, sf_dir), F.col("l_orderkey") == F.col("o_orderkey"), "left")
+def _labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with their labels; those without a label give NULLs to audit."""
+    return table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left")
 
 
 def not_null_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = resolve(
         [
-            SourceColumn("l_orderkey", "NUMBER", "10", "0", nullable="N"),
-            SourceColumn("o_custkey", "NUMBER", "10", "0", nullable="N"),
-            SourceColumn("o_orderdate", "DATE", nullable="N"),
-            SourceColumn("o_orderpriority", "VARCHAR2", length="15"),
+            SourceColumn("doc_id", "NUMBER", "10", "0", nullable="N"),
+            SourceColumn("quality", "NUMBER", "1", "0", nullable="N"),
+            SourceColumn("toxic", "NUMBER", "1", "0", nullable="N"),
+            SourceColumn("lang", "CHAR", length="2"),
         ]
     )
-    return audits.not_null_audit(_lines_with_orders(spark, sf_dir), spec)
+    return audits.not_null_audit(_labelled_documents(spark, sf_dir), spec)
 
 
 def pk_null_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audits.pk_audit(_lines_with_orders(spark, sf_dir), ["o_custkey", "l_linenumber"])
+    return audits.pk_audit(_labelled_documents(spark, sf_dir), ["n_chars", "toxic"])
 
 
 def unique_null_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audits.unique_audit(_lines_with_orders(spark, sf_dir), ["o_custkey", "l_linenumber"])
+    return audits.unique_audit(_labelled_documents(spark, sf_dir), ["n_chars", "toxic"])
 
 
 def fk_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audits.fk_audit(
-        table(spark, sf_dir, "lineitem"), _open_orders(spark, sf_dir), {"l_orderkey": "o_orderkey"}
-    )
+    """Documents that no label refers to."""
+    return audits.fk_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), {"doc_id": "doc_id"})
 
 
 def fk_audit_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -144,7 +138,8 @@ def report(spark: SparkSession, sf_dir: str) -> DataFrame:
         resolve(LINEITEM),
         unique={"part and supplier": ["l_partkey", "l_suppkey"]},
         parents={
-            "open orders": (_open_orders(spark, sf_dir), {"l_orderkey": "o_orderkey"}),
+            "orders": (table(spark, sf_dir, "orders"), {"l_orderkey": "o_orderkey"}),
+            "labels": (table(spark, sf_dir, "labels"), {"l_orderkey": "doc_id"}),
             "parts": (table(spark, sf_dir, "part"), {"l_partkey": "p_partkey"}),
         },
         checks=CHECKS,
@@ -204,7 +199,9 @@ def loadable(lineitem: DataFrame) -> DataFrame:
 
 
 def partition_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profiles.partition_candidates(_lines_with_orders(spark, sf_dir))
+    """Orders with their lines: orders without lines have no ship date."""
+    orders, lines = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
+    return profiles.partition_candidates(orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left"))
 
 
 def write_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -311,6 +308,18 @@ def csv_intake(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_catalog_csv(spark, path)
 
 
+def csv_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A CSV file with few headers, one of them by its other name, and rows without a table name."""
+    path = shared_dir(spark, "csv-gaps")
+    extract = samples.narrow_extract(table(spark, sf_dir, "lineitem"))
+    named = F.when(F.col("DATA_PRECISION") == "", "").otherwise(F.col("TABLE_NAME"))
+    few = extract.select(
+        F.col("OWNER").alias("TABLE_SCHEMA"), named.alias("TABLE_NAME"), "COLUMN_NAME", "COLUMN_ID", "DATA_TYPE"
+    )
+    files.write_catalog_csv(few, path)
+    return read_catalog_csv(spark, path)
+
+
 def csv_to_ddl(spark: SparkSession, sf_dir: str) -> DataFrame:
     """From a catalog CSV to one definition per table."""
     path = shared_dir(spark, "csv-ddl")
@@ -321,6 +330,7 @@ def csv_to_ddl(spark: SparkSession, sf_dir: str) -> DataFrame:
 def csv_korean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files in an older Korean encoding, found and read back."""
     path = shared_dir(spark, "csv-korean")
+    spark.conf.set("spark.sql.legacy.javaCharsets", "true")  # as build_session does
     files.write_catalog_csv(samples.narrow_extract(table(spark, sf_dir, "lineitem")), path, encoding="EUC-KR")
     return read_catalog_csv(spark, path)
 
@@ -386,6 +396,7 @@ QUERIES: dict[str, Query] = {
     # Catalog intake and extract
     "csv_intake": csv_intake,
     "csv_korean": csv_korean,
+    "csv_gaps": csv_gaps,
     "catalog_records": _narrow(lambda r: r.select(*RECORD_FIELDS, "column_id")),
     "partitioned_tables": _on(
         "orders", lambda t: dictionary.partitioned_tables(samples.partitioned_table_view(t))

@@ -426,8 +426,8 @@ FROM {table}"""
     )
 
 
-_LINES_WITH_ORDERS = """(SELECT * FROM lineitem LEFT JOIN (SELECT * FROM orders WHERE o_orderstatus <> 'F') o
-  ON l_orderkey = o_orderkey)"""
+_LABELLED = "(SELECT * FROM documents LEFT JOIN labels USING (doc_id))"
+_ORDERS_WITH_LINES = "(SELECT * FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey)"
 
 _REASONS = ", ".join(
     [
@@ -474,7 +474,7 @@ FROM documents"""
 
 def _not_null(column: str) -> str:
     return f"""SELECT '{column}' AS column_name, count(*) AS rows, count(*) - count({column}) AS nulls
-FROM {_LINES_WITH_ORDERS}"""
+FROM {_LABELLED}"""
 
 
 CHECK_SQL = {
@@ -519,11 +519,10 @@ def _report() -> str:
         broken = _duplicates("lineitem", keys)
         rows.append(_violations(check, subject, f"SELECT coalesce(sum(rows), 0) FROM ({broken})"))
     rows.append(
-        _violations(
-            "foreign key",
-            "open orders",
-            _lines("l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'F')"),
-        )
+        _violations("foreign key", "orders", _lines("l_orderkey NOT IN (SELECT o_orderkey FROM orders)"))
+    )
+    rows.append(
+        _violations("foreign key", "labels", _lines("l_orderkey NOT IN (SELECT doc_id FROM labels)"))
     )
     rows.append(_violations("foreign key", "parts", _lines("l_partkey NOT IN (SELECT p_partkey FROM part)")))
     return "\nUNION ALL\n".join(rows)
@@ -563,7 +562,7 @@ def _candidate(column: str) -> str:
   coalesce(min(rows) FILTER (day IS NOT NULL), 0) AS min_rows_per_day,
   coalesce(max(rows) FILTER (day IS NOT NULL), 0) AS max_rows_per_day,
   CAST(coalesce(sum(rows) FILTER (day IS NULL), 0) AS BIGINT) AS null_rows
-FROM (SELECT CAST({column} AS DATE) AS day, count(*) AS rows FROM {_LINES_WITH_ORDERS} GROUP BY 1)"""
+FROM (SELECT CAST({column} AS DATE) AS day, count(*) AS rows FROM {_ORDERS_WITH_LINES} GROUP BY 1)"""
 
 
 def _distinct_values(column: str) -> str:
@@ -584,18 +583,18 @@ SQL: dict[str, str] = {
     "convert_orders": f"""SELECT o_orderkey, {_convert("o_custkey", "DECIMAL(38,9)", 9)},
   o_orderstatus, {_convert("o_totalprice", "DECIMAL(7,1)", 1)}, o_orderdate, o_orderpriority FROM orders""",
     "length_audit": "\nUNION ALL\n".join([_length("text", 4000), _length("lang", 2), _length("source", 4)]),
-    "not_null_audit": "\nUNION ALL\n".join(map(_not_null, ["l_orderkey", "o_custkey", "o_orderdate"])),
+    "not_null_audit": "\nUNION ALL\n".join(map(_not_null, ["doc_id", "quality", "toxic"])),
     "pk_audit": f"""SELECT *, 'duplicate key' AS reason
 FROM ({_duplicates("lineitem", "l_orderkey, l_linenumber")})""",
-    "pk_null_audit": f"""SELECT o_custkey, l_linenumber, count(*) AS rows,
-  CASE WHEN o_custkey IS NULL THEN 'null key' ELSE 'duplicate key' END AS reason
-FROM {_LINES_WITH_ORDERS} GROUP BY ALL HAVING count(*) > 1 OR o_custkey IS NULL""",
+    "pk_null_audit": f"""SELECT n_chars, toxic, count(*) AS rows,
+  CASE WHEN toxic IS NULL THEN 'null key' ELSE 'duplicate key' END AS reason
+FROM {_LABELLED} GROUP BY ALL HAVING count(*) > 1 OR toxic IS NULL""",
     "unique_audit": _duplicates("lineitem", "l_partkey, l_suppkey"),
     "unique_null_audit": _duplicates(
-        f"(SELECT * FROM {_LINES_WITH_ORDERS} WHERE o_custkey IS NOT NULL)", "o_custkey, l_linenumber"
+        f"(SELECT * FROM {_LABELLED} WHERE toxic IS NOT NULL)", "n_chars, toxic"
     ),
-    "fk_audit": """SELECT l_orderkey, count(*) AS orphan_rows FROM lineitem
-WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey AND o_orderstatus <> 'F') GROUP BY 1""",
+    "fk_audit": """SELECT d.doc_id, count(*) AS orphan_rows FROM documents d
+WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id) GROUP BY 1""",
     "fk_audit_clean": """SELECT l_orderkey, count(*) AS orphan_rows FROM lineitem
 WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey) GROUP BY 1""",
     "check_audit": "\nUNION ALL\n".join(_check(*item) for item in CHECK_SQL.items()),
@@ -649,6 +648,11 @@ FROM (SELECT *, concat_ws('; ',
     "expired_days": """SELECT CAST(ts AS DATE) AS day, count(*) AS rows FROM events
 WHERE CAST(ts AS DATE) < DATE '2024-01-31' - 10 GROUP BY 1""",
     "csv_intake": f"WITH {NARROW} SELECT {RECORD}, column_id FROM cat",
+    "csv_gaps": f"""WITH {NARROW} SELECT schema_name, table_name, column_name, data_type, '' AS data_precision,
+  '' AS data_scale, '' AS char_length, '' AS data_length, 'Y' AS nullable, 'N' AS is_primary_key,
+  '' AS fk_constraint_name, '' AS unique_constraint_name, '' AS default_value, '' AS data_default,
+  '' AS column_comment, 'N' AS partition_yn, 'N' AS cluster_yn, column_id
+FROM cat WHERE data_precision <> ''""",
     "csv_korean": f"WITH {NARROW} SELECT {RECORD}, column_id FROM cat",
     "catalog_records": f"WITH {NARROW} SELECT {RECORD}, column_id FROM cat",
     "partitioned_tables": """SELECT 'SCHEMA' || (o_orderkey % 5) AS OWNER, 'T' || o_orderkey AS TABLE_NAME,

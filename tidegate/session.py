@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -45,15 +46,14 @@ def build_session(
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new path under the folder that ``spark.checkpoint.dir`` names.
 
-    Only a local master may go without the setting; executors of a cluster cannot see the
-    driver's temporary folder, so there it is an error.
+    Only a master of one process may go without the setting; executors of a cluster cannot see the
+    driver's temporary folder, so there it is an error. The session's settings stay as they are.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        if not re.fullmatch(r"local(\[[^,\]]*(,\d+)?\])?", spark.conf.get("spark.master", "")):
             raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
         base = tempfile.mkdtemp(prefix="tidegate-")
-        spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/tidegate-{name}-{uuid.uuid4().hex}"
 
 

@@ -39,18 +39,29 @@ UTF8, KOREAN = "UTF-8", "x-windows-949"
 RECORD_FIELDS = tuple(HEADERS)
 
 
+# How bytes of the older Korean sets follow each other; accented Western letters break it.
+_KOREAN_BYTES = r"\A(?:[\x00-\x7F]|[\x81-\xC6][\x41-\x5A\x61-\x7A\x81-\xFE]|[\x81-\xFE][\xA1-\xFE])*+\z"
+
+
 def file_encodings(spark: SparkSession, paths: Sequence[str] | str) -> DataFrame:
-    """One row per file: path and encoding, judged on the whole file.
+    """One row per file: path and encoding, judged on the whole file; NULL for bytes of neither.
 
     Lines are read as raw bytes, so large files are split over tasks and only one flag per file
     and task is shuffled.
     """
     lines = spark.read.text(paths).select(
-        F.col("_metadata.file_path").alias("path"), F.is_valid_utf8("value").alias("valid")
-    )
-    return lines.groupBy("path").agg(
-        F.when(F.bool_and("valid"), UTF8).otherwise(KOREAN).alias("encoding")
+        F.col("_metadata.file_path").alias("path"),
+        F.is_valid_utf8("value").alias("valid"),
+        F.decode(F.col("value").cast("binary"), "ISO-8859-1").rlike(_KOREAN_BYTES).alias("korean"),
     )
+    korean = F.when(F.bool_and("korean"), KOREAN)
+    return lines.groupBy("path").agg(F.when(F.bool_and("valid"), UTF8).otherwise(korean).alias("encoding"))
+
+
+def need_java_charsets(spark: SparkSession) -> None:
+    """Encodings other than UTF-8 need a setting that ``session.build_session`` makes."""
+    if spark.conf.get("spark.sql.legacy.javaCharsets", "false").lower() != "true":
+        raise ValueError("set spark.sql.legacy.javaCharsets to true for files that are not UTF-8")
 
 
 def read_csv_text(
@@ -61,7 +72,7 @@ def read_csv_text(
     ``multi_line=False`` lets Spark split a huge file whose fields hold no line breaks.
     """
     if encoding.upper() != UTF8:
-        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
+        need_java_charsets(spark)
     frame = spark.read.options(
         header=True, quote='"', escape='"', multiLine=multi_line, encoding=encoding, enforceSchema=False
     ).csv(paths)
@@ -83,9 +94,11 @@ def read_catalog_csv(
     if encoding:
         raw = read_csv_text(spark, paths, encoding, multi_line)
     else:
-        groups: dict[str, list[str]] = {}
+        groups: dict[str | None, list[str]] = {}
         for row in file_encodings(spark, paths).collect():
             groups.setdefault(row["encoding"], []).append(row["path"])
+        if None in groups:
+            raise ValueError(f"neither UTF-8 nor Korean, name the encoding: {', '.join(sorted(groups[None]))}")
         raw = None
         for name in sorted(groups):
             part = read_csv_text(spark, sorted(groups[name]), name, multi_line)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidegate.operators import audits, columns, layout, profiles
 from tidegate.operators.spec import SourceColumn, convert_table, resolve
 from tidegate.plans import sample_catalogs as samples
+from tidegate.plans.catalog_rules import catalog_report, table_rules
 from tidegate.plans.ddl import DdlOptions, ddl_lines, table_ddl
 from tidegate.plans.extract import extract_catalog
 from tidegate.plans.migrate import migrate_table
@@ -18,7 +19,7 @@ from tidegate.plans.report import migration_report
 from tidegate.session import shared_dir
 from tidegate.sinks import files
 from tidegate.sources import dictionary
-from tidegate.sources.catalog_csv import RECORD_FIELDS, catalog_records, read_catalog_csv
+from tidegate.sources.catalog_csv import RECORD_FIELDS, catalog_records, read_catalog_csv, read_csv_text
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -246,6 +247,43 @@ def migrate_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# What the dictionary says about three of the tables: owner, table, column, position, type, precision,
+# scale, length, nullable, then the primary key, foreign key and its target, unique key, and condition.
+CATALOG = [
+    ("SALES", "LINEITEM", "l_orderkey", "1", "NUMBER", "10", "0", "", "N", "PK_LINE", "FK_ORDER", "PK_ORDER", "", "", ""),
+    ("SALES", "LINEITEM", "l_orderkey", "1", "NUMBER", "10", "0", "", "N", "PK_LINE", "FK_LABEL", "UK_LABEL", "", "", ""),
+    ("SALES", "LINEITEM", "l_linenumber", "2", "NUMBER", "3", "0", "", "N", "PK_LINE", "", "", "", "", ""),
+    ("SALES", "LINEITEM", "l_partkey", "3", "NUMBER", "10", "0", "", "N", "", "", "", "UK_OFFER", "", ""),
+    ("SALES", "LINEITEM", "l_suppkey", "4", "NUMBER", "10", "0", "", "N", "", "", "", "UK_OFFER", "", ""),
+    ("SALES", "LINEITEM", "l_extendedprice", "5", "NUMBER", "6", "2", "", "Y", "", "", "", "", "", ""),
+    ("SALES", "LINEITEM", "l_discount", "6", "NUMBER", "3", "1", "", "Y", "", "", "", "", "CK_SMALL", "l_discount <= 0.05"),
+    ("SALES", "LINEITEM", "l_discount", "6", "NUMBER", "3", "1", "", "Y", "", "", "", "", "CK_SIGN", "l_discount > 0"),
+    ("SALES", "LINEITEM", "l_returnflag", "7", "CHAR", "", "", "1", "Y", "", "", "", "", "", ""),
+    ("SALES", "ORDERS", "o_orderkey", "1", "NUMBER", "10", "0", "", "N", "PK_ORDER", "", "", "", "", ""),
+    ("TEXTS", "LABELS", "doc_id", "1", "NUMBER", "10", "0", "", "N", "", "", "", "UK_LABEL", "", ""),
+]
+CATALOG_FIELDS = [
+    "OWNER", "TABLE_NAME", "COLUMN_NAME", "COLUMN_ID", "DATA_TYPE", "DATA_PRECISION", "DATA_SCALE", "DATA_LENGTH",
+    "NULLABLE", "PK_CONSTRAINT_NAME", "FK_CONSTRAINT_NAME", "REFERENCED_CONSTRAINT", "UK_CONSTRAINT_NAME",
+    "CK_CONSTRAINT_NAME", "SEARCH_CONDITION",
+]
+
+
+def catalog_to_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From a catalog CSV to the rules of a table to the report over its data."""
+    path = shared_dir(spark, "catalog")
+    extract = spark.createDataFrame(CATALOG, ", ".join(f"{field} string" for field in CATALOG_FIELDS))
+    flagged = extract.withColumn("IS_PRIMARY_KEY", F.when(F.col("PK_CONSTRAINT_NAME") != "", "Y").otherwise("N"))
+    files.write_catalog_csv(flagged, path)
+    rules = table_rules(read_csv_text(spark, path), "SALES", "LINEITEM")
+    tables = {
+        ("SALES", "LINEITEM"): table(spark, sf_dir, "lineitem"),
+        ("SALES", "ORDERS"): table(spark, sf_dir, "orders"),
+        ("TEXTS", "LABELS"): table(spark, sf_dir, "labels"),
+    }
+    return catalog_report(rules, tables, ("SALES", "LINEITEM"))
+
+
 def migrate_replace_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A daily reload of a clustered table: days from the 16th on are replaced by their corrected clicks."""
     path, rejected_path = shared_dir(spark, "reloaded"), shared_dir(spark, "reload-rejected")
@@ -364,6 +402,7 @@ QUERIES: dict[str, Query] = {
     "quarantine": _on("lineitem", rejected),
     "quarantine_loadable": _on("lineitem", loadable),
     "migration_report": report,
+    "catalog_to_report": catalog_to_report,
     "clean_text": _on("documents", lambda t: audits.clean_text(t, "text")),
     # Profiles
     "number_profile": _on(

@@ -528,6 +528,29 @@ def _report() -> str:
     return "\nUNION ALL\n".join(rows)
 
 
+def _catalog_report() -> str:
+    numbers = {"l_orderkey": ("BIGINT", 0), "l_linenumber": ("BIGINT", 0), "l_partkey": ("BIGINT", 0),
+               "l_suppkey": ("BIGINT", 0), "l_extendedprice": ("DECIMAL(6,2)", 2), "l_discount": ("DECIMAL(3,1)", 1)}
+    rows = []
+    for name, (cast, places) in numbers.items():
+        misfit, lost = _number_fit(name, cast, places)
+        rows += [_violations("type", name, _lines(misfit)), _violations("rounding", name, _lines(lost))]
+    rows += [_violations(check, "l_returnflag", _lines("false")) for check in ("type", "rounding")]
+    for name in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"):
+        rows.append(_violations("not null", name, _lines(f"{name} IS NULL")))
+    rows.append(_violations("length", "l_returnflag", _lines("length(l_returnflag) > 1")))
+    rows.append(_violations("check", "CK_SMALL", _lines("l_discount > 0.05")))
+    rows.append(_violations("check", "CK_SIGN", _lines("l_discount <= 0")))
+    for check, subject, keys in (
+        ("primary key", "l_orderkey, l_linenumber", "l_orderkey, l_linenumber"),
+        ("unique", "UK_OFFER", "l_partkey, l_suppkey"),
+    ):
+        rows.append(_violations(check, subject, f"SELECT coalesce(sum(rows), 0) FROM ({_duplicates('lineitem', keys)})"))
+    for subject, parent in (("FK_ORDER", "SELECT o_orderkey FROM orders"), ("FK_LABEL", "SELECT doc_id FROM labels")):
+        rows.append(_violations("foreign key", subject, _lines(f"l_orderkey NOT IN ({parent})")))
+    return "\nUNION ALL\n".join(rows)
+
+
 def _profile(column: str, table: str = "lineitem") -> str:
     number = f"CAST(abs({_exact(column)}) AS VARCHAR)"
     return f"""SELECT '{column}' AS column_name,
@@ -606,6 +629,7 @@ WHERE reasons <> ''""",
   {_convert("l_tax", "DECIMAL(38,9)", 9)}, l_returnflag, l_linestatus, l_shipdate
 FROM lineitem WHERE concat_ws('; ', {_REASONS}) = ''""",
     "migration_report": _report(),
+    "catalog_to_report": _catalog_report(),
     "clean_text": f"""SELECT doc_id, {_clean("text")} AS text, lang, source, n_chars, {_clean("text")} <> text AS changed
 FROM documents""",
     "number_profile": _profiles([_profile(c) for c in _PROFILE_COLUMNS]),

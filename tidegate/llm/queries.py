@@ -12,6 +12,7 @@ from tidegate.llm.bpe import encode_texts
 from tidegate.llm.common import table, work_folder
 from tidegate.llm.counts import count_tokens
 from tidegate.llm.secrets import find_secrets
+from tidegate.llm.twins import SQL as SQL
 
 
 def secret_scan(spark: SparkSession, sf: str) -> DataFrame:
@@ -73,4 +74,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_minhash_near_dedup": near_duplicates,
     "op10_token_counts": token_counts,
 }
-SQL: dict[str, str] = {}
+

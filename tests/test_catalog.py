@@ -345,3 +345,10 @@ def test_bytes_of_no_known_encoding_raise(spark, tmp_path):
         read_catalog_csv(spark, path)
     named = read_catalog_csv(spark, path, encoding="ISO-8859-1").collect()
     assert named[0].column_comment == "café réel"
+
+
+def test_owner_ranges_are_disjoint_and_complete(spark):
+    owners = spark.createDataFrame([("A",), ("F",), ("M",), ("O'X",), ("Z",), (None,)], "OWNER string")
+    ranges = dictionary.owner_predicates(["M", "F", "O'X"])
+    assert [owners.filter(p).count() for p in ranges] == [2, 1, 1, 2]
+    assert dictionary.owner_predicates([]) == ["1 = 1"]

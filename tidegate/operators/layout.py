@@ -128,16 +128,19 @@ def save_table(
     partition_by: Sequence[str] = (),
     cluster_by: Sequence[str] = (),
     buckets: int = 0,
+    path: str | None = None,
 ) -> None:
     """Create, create-or-replace, or drop-then-create a catalog table.
 
     Like the definitions, a drop happens only for a replaced table that is partitioned.
-    ``buckets`` with ``cluster_by`` buckets and sorts the table, so later joins on those columns
+    ``path`` keeps the data outside the warehouse. ``buckets`` with ``cluster_by`` buckets and sorts the table, so later joins on those columns
     need no shuffle.
     """
     if create_or_replace and drop_first and partition_by:
         df.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
     writer = df.write.format("parquet").mode("overwrite" if create_or_replace else "errorifexists")
+    if path:
+        writer = writer.option("path", path)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if cluster_by and buckets:

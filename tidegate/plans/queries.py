@@ -234,6 +234,18 @@ def cluster_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def save_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A partitioned, bucketed catalog table, created and then replaced by its other rows; read back by name."""
+    path = shared_dir(spark, "saved")
+    name = "saved_" + path.rsplit("-", 1)[1]
+    events = table(spark, sf_dir, "events")
+    options = {"partition_by": ["event_type"], "cluster_by": ["user_id"], "buckets": 4, "path": path}
+    layout.save_table(events, name, **options)
+    clicks = events.filter(F.col("event_type") != "view")
+    layout.save_table(clicks, name, create_or_replace=True, drop_first=True, **(options | {"path": f"{path}-2"}))
+    return spark.table(name)
+
+
 def migrate_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Load the events as declared; both the loaded and the rejected rows are read back."""
     path, rejected_path = shared_dir(spark, "migrated"), shared_dir(spark, "rejected")
@@ -428,6 +440,7 @@ QUERIES: dict[str, Query] = {
     "replace_days": replace_days,
     "read_days": read_days,
     "cluster_layout": cluster_layout,
+    "save_table": save_table,
     "migrate_events": migrate_events,
     "migrate_replace_days": migrate_replace_days,
     "expire_days": _on("events", lambda t: layout.expire_partitions(t, "ts", date(2024, 1, 31), 10)),

@@ -661,6 +661,7 @@ SELECT * REPLACE (value + 1000 AS value), CAST(ts AS DATE) AS day FROM events
 WHERE event_type = 'click' AND ts >= TIMESTAMP '2024-01-16'""",
     "read_days": """SELECT *, CAST(ts AS DATE) AS day FROM events
 WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-14'""",
+    "save_table": "SELECT * FROM events WHERE event_type <> 'view'",
     "cluster_layout": "SELECT *, CAST(ts AS DATE) AS day FROM events",
     "migrate_events": f"""SELECT event_id, ts, user_id, event_type, props, reasons,
   CAST(value AS DECIMAL(12,2)) AS value, CASE WHEN reasons = '' THEN CAST(ts AS DATE) END AS day

@@ -149,19 +149,23 @@ def signatures(docs: DataFrame, size: int, id_column: str, text_column: str) ->
     return rows.mapInArrow(run, f"id {kind}, n long, class binary, bands array<long>, packed binary")
 
 
-def _candidates(nodes: DataFrame) -> DataFrame:
-    """Edges from every class to the smallest class of each of its buckets."""
+def _candidates(nodes: DataFrame, folder: str) -> DataFrame:
+    """Edges from every class to the smallest class of each of its buckets.
+
+    The buckets are written before they are joined, so that the join can split one that holds very many.
+    """
     buckets = nodes.select("node", F.posexplode("bands").alias("band", "key"))
     firsts = buckets.groupBy("band", "key").agg(F.min("node").alias("b"), F.max("node").alias("last"))
-    shared = firsts.where("b <> last").select("band", "key", "b")
+    shared = cut(firsts.where("b <> last").select("band", "key", "b"), folder, "buckets")
     return buckets.join(shared, ["band", "key"]).where("node <> b").select(F.col("node").alias("a"), "b").distinct()
 
 
-def _blocks(members: DataFrame) -> DataFrame:
+def _blocks(members: DataFrame, folder: str) -> DataFrame:
     """(node, part, group columns) once for every pair of blocks that a class takes part in."""
     sums = members.groupBy("component").agg(F.count(F.lit(1)).alias("classes"), F.sum("n").alias("shingles"))
     count = F.greatest(F.ceil(F.col("classes") / BLOCK_CLASSES), F.ceil(F.col("shingles") * 8 / BLOCK_BYTES))
-    dealt = members.join(sums.select("component", count.cast("int").alias("count")), "component")
+    counts = cut(sums.select("component", count.cast("int").alias("count")), folder, "blocks")
+    dealt = members.join(counts, "component")
     dealt = dealt.withColumn("block", F.pmod(F.xxhash64("node"), F.col("count")).cast("int"))
     paired = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("count") - 1)))
     return paired.select(
@@ -218,9 +222,9 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_column
     first = usable.join(classes, (usable["class"] == classes["class"]) & (usable["id"] == classes["node"]))
     nodes = cut(first.select("node", "n", "bands", "packed"), folder, "nodes")
 
-    loose = components(_candidates(nodes), folder, "loose")
+    loose = components(_candidates(nodes, folder), folder, "loose")
     members = loose.join(nodes.drop("bands"), "node").dropDuplicates(["node"])
-    dealt = _blocks(members)
+    dealt = _blocks(members, folder)
     texts = docs.select(F.col(id_column).alias("node"), F.col(text_column).cast("binary").alias("text"))
     # The text of each class in question, once; then once for every pair of blocks.
     needed = texts.join(members.select("node"), "node").dropDuplicates(["node"])

@@ -36,7 +36,7 @@ from tidegate.llm.common import batched, byte_texts
 from tidegate.llm.words import mix, word_hashes
 
 MOST_WORDS = 100_000
-PASS_BYTES = 2 << 20
+PASS_BYTES = 1 << 20
 #: Steps of the walk per size class, sampled positions, samples per walk, and most walks.
 STEPS = (20, 10, 5, 2)
 SAMPLED, SAMPLES, MOST_WALKS = 4, 3, 6

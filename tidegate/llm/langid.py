@@ -28,7 +28,7 @@ from tidegate.llm.common import batched, byte_texts, hash_sample, in_fold
 
 BUCKETS = 1 << 13
 UNKNOWN = "und"
-PASS_BYTES = 2 << 20
+PASS_BYTES = 1 << 20
 _SALTS = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F], dtype=np.uint64)
 
 

@@ -38,7 +38,7 @@ from tidegate.llm.words import shingles, word_hashes
 
 MINIMA, ROWS, BANDS, BITS = 128, 5, 25, 2
 #: Bytes of text per pass, classes per block, and bytes of sets per block; memory only.
-PASS_BYTES = 4 << 20
+PASS_BYTES = 1 << 20
 BLOCK_CLASSES = 400
 BLOCK_BYTES = 16 << 20
 #: Standard deviations below the threshold at which an estimate rules a pair out (one in 300,000).

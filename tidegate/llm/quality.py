@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from tidegate.llm.common import batched, byte_texts, cut, work_folder
 from tidegate.llm.words import mix, word_hashes
 
-PASS_BYTES = 4 << 20
+PASS_BYTES = 1 << 20
 SYMBOLS = b"#*$%&|<>"
 #: Character classes of bytes; continuation bytes of UTF-8 count for none.
 CLASSES = ("lower", "upper", "digit", "space", "line", "stop", "symbol", "other", "control", "wide")

@@ -34,8 +34,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.llm.common import byte_texts, cut, hash_sample, in_fold, work_folder
+from tidegate.llm.common import batched, byte_texts, cut, hash_sample, in_fold, work_folder
 
+PASS_BYTES = 4 << 20
 #: Evidence of a text without any toxic word, whatever its length.
 NO_EVIDENCE = -12.0
 #: Bytes of the beginnings that are features.
@@ -240,7 +241,7 @@ def score_texts(docs: DataFrame, model: ToxicModel, held_out: tuple[int, int] =
     kind = docs.schema[id_column].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in batched(batches, PASS_BYTES):
             rows = [model.score(text) for text in byte_texts(batch.column(1))]
             columns = [pa.array([s for s, _ in rows], pa.float64()), pa.array([n for _, n in rows], pa.int32())]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["id", "score", "passages"])
@@ -261,7 +262,7 @@ def drop_toxic(docs: DataFrame, model: ToxicModel, threshold: float = 0.7, text_
     text_at = docs.columns.index(text_column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in batched(batches, PASS_BYTES):
             keep = [model.score(text)[0] < threshold for text in byte_texts(batch.column(text_at))]
             yield batch.filter(pa.array(keep, pa.bool_()))
 

@@ -16,6 +16,10 @@ _INVERSE = pow(_BASE, -1, 1 << 64)
 _POWERS: list[np.ndarray] = []
 
 
+#: Bytes whose terms are held at once.
+PART = 1 << 19
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit integers that spreads every bit."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -25,7 +29,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def _powers(count: int) -> tuple[np.ndarray, np.ndarray]:
     if not _POWERS or len(_POWERS[0]) < count:
-        size = max(count, 1 << 20)
+        size = max(count, PART)
         with np.errstate(over="ignore"):
             _POWERS[:] = [
                 np.cumprod(np.concatenate([[np.uint64(1)], np.full(size - 1, base, dtype=np.uint64)]), dtype=np.uint64)
@@ -45,10 +49,17 @@ def word_hashes(texts: list[bytes], plain: bool = False, exact: bool = False) ->
     inside = codes != 32
     edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
     starts, ends = edges[0::2], edges[1::2]
-    power, inverse = _powers(len(codes))
-    terms = _VALUE[codes] * power[: len(codes)]
-    sums = np.cumsum(terms, dtype=np.uint64)
-    hashes = mix((sums[ends - 1] - sums[starts - 1]) * inverse[starts])
+    hashes = np.empty(len(starts), dtype=np.uint64)
+    first = 0
+    while first < len(starts):  # words of about PART bytes at a time
+        base = starts[first]
+        last = max(first + 1, int(np.searchsorted(ends, base + PART, side="right")))
+        part = codes[base : ends[last - 1]]
+        power, inverse = _powers(len(part))
+        sums = np.concatenate([[np.uint64(0)], np.cumsum(_VALUE[part] * power[: len(part)], dtype=np.uint64)])
+        begin, end = starts[first:last] - base, ends[first:last] - base
+        hashes[first:last] = mix((sums[end] - sums[begin]) * inverse[begin])
+        first = last
     ends_of_texts = np.cumsum([len(t) + 1 for t in texts]) if texts else np.zeros(0, dtype=np.int64)
     return hashes, np.concatenate([[0], np.searchsorted(starts, ends_of_texts, side="right")])
 

@@ -177,3 +177,13 @@ def test_pipeline_on_an_empty_table(spark, sf_dir):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, sf_dir)
         assert docs.count() == 0
+
+
+def test_clustered_ids_are_cut_too(spark):
+    ids = [-5, 1 << 61, *range(1_000_000, 1_000_400)]
+    facts = spark.createDataFrame([(i, "d", 10) for i in ids], "page_id long, digest string, bytes long")
+    ranges = warc.shard_ranges(facts, 200)
+    placed = warc._with_shard(facts.withColumn("url", F.lit("u")), ranges).collect()
+    sizes = Counter(r["shard"] for r in placed)
+    assert set(sizes) == set(range(ranges.shards)) and max(sizes.values()) <= 20 and ranges.shards <= 30
+    assert [r["shard"] for r in sorted(placed, key=lambda r: r["page_id"])] == sorted(r["shard"] for r in placed)

@@ -51,15 +51,18 @@ def cut(rows: DataFrame, folder: str, name: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(f"{folder}/{name}")
 
 
-def hash_sample(rows: DataFrame, by: str, id_column: str, per_value: int, seed: int) -> DataFrame:
+def hash_sample(rows: DataFrame, by: str, id_column: str, per_value: int, seed: int, most_values: int = 1000) -> DataFrame:
     """A sample of about per_value rows for each value of a column, chosen by a hash of the id.
 
+    Of more than most_values values the most frequent ones are sampled.
+
     The counts per value come from all rows; each value then keeps the share of the hash range that gives
     per_value rows on average. The same rows are chosen wherever they lie, and values with fewer rows keep
     all of them.
     """
     steps = 1 << 40
     counts = rows.groupBy(F.col(by).alias("sample_value")).agg(F.count(F.lit(1)).alias("sample_rows"))
+    counts = counts.orderBy(F.desc("sample_rows"), "sample_value").limit(most_values)
     limits = {r["sample_value"]: min(steps, steps * per_value // r["sample_rows"]) for r in counts.collect()}
     if not limits:
         return rows.limit(0)

@@ -25,15 +25,17 @@ import hashlib
 import re
 import uuid
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
 import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Bins of one histogram of page ids, collected at the driver.
-BINS = 4096
+#: Least and most bins of the first histogram of page ids, collected at the driver.
+BINS, MOST_BINS = 4096, 1 << 20
 MANIFEST = "shard int, number int, name string, records long, bytes long, sha256 string"
 RECORDS = "page_id long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long"
 _SPACE = re.compile(r"[\x00-\x20\x7f]")
@@ -129,50 +131,69 @@ class RollingFiles:
         self.done.append((self.shard, len(self.done), self.name, self.records, self.size, self.digest.hexdigest()))
 
 
-def _cuts(ids: DataFrame, shard_bytes: int) -> list[int]:
-    """First page ids of the shards after the first, by payload bytes."""
-    span = ids.agg(F.min("page_id").alias("low"), F.max("page_id").alias("high")).first()
+@dataclass(frozen=True)
+class Ranges:
+    """Shards as ranges of page ids: where bins begin, their width, and for each bin that has pages the shard
+    of its first id and the ids inside it at which a further shard begins."""
+
+    low: int
+    width: int
+    bins: list[tuple[int, int, list[int]]]
+    shards: int
+
+
+def _bin(low: int, width: int) -> Column:
+    return F.expr(f"(page_id - CAST({low} AS BIGINT)) div CAST({width} AS BIGINT)")
+
+
+def shard_ranges(facts: DataFrame, shard_bytes: int) -> Ranges:
+    """Ranges of page_id of about ``shard_bytes`` payload bytes, from histograms of all ids.
+
+    The first histogram has several bins per shard, a million at most; bins that hold more than a shard are
+    cut into 64 again and again, all of one width in one job, so that clustered ids are cut as well. What
+    comes to the driver is a number per bin.
+    """
+    spark = facts.sparkSession
+    known = facts.where(F.col("page_id").isNotNull())
+    span = known.agg(F.min("page_id").alias("low"), F.max("page_id").alias("high"), F.sum("bytes").alias("bytes")).first()
     if span["low"] is None:
-        return []
-    bins: list[tuple[int, int, int]] = []  # low, high, bytes
-    todo = [(span["low"], span["high"])]
-    while todo:
-        nearer: list[tuple[int, int]] = []
-        for low, high in todo:
-            width = -(-(high - low + 1) // BINS)
-            at = F.floor((F.col("page_id") - low) / width)
-            rows = ids.where(F.col("page_id").between(low, high)).groupBy(at.alias("bin")).agg(F.sum("bytes").alias("bytes"))
-            for row in rows.collect():
-                first = low + row["bin"] * width
-                part = (first, min(high, first + width - 1))
-                if row["bytes"] > shard_bytes and width > 1:
-                    nearer.append(part)
-                else:
-                    bins.append((*part, row["bytes"]))
-        todo = nearer
+        return Ranges(0, 1, [], 1)
+    low, wanted = span["low"], min(MOST_BINS, max(BINS, 8 * span["bytes"] // shard_bytes))
+    width = first_width = 1 << max(0, -(-(span["high"] - low + 1) // wanted) - 1).bit_length()
+    rows, pieces, occupied = known, [], []
+    while True:
+        sums = rows.groupBy(_bin(low, width).alias("bin")).agg(F.sum("bytes").alias("bytes")).collect()
+        occupied = occupied or sorted(r["bin"] for r in sums)
+        large = [r["bin"] for r in sums if r["bytes"] > shard_bytes and width > 1]
+        kept = set(large)
+        pieces += [(r["bin"] * width, r["bytes"]) for r in sums if r["bin"] not in kept]
+        if not large:
+            break
+        # As many as the shards they fill at most.
+        inside = F.broadcast(spark.createDataFrame([(b,) for b in large], "large long"))
+        rows = known.join(inside, _bin(low, width) == F.col("large"), "left_semi")
+        width = max(1, width // 64)
     cuts, filled = [], 0
-    for low, _, size in sorted(bins):
+    for begin, size in sorted(pieces):
         if filled and filled + size > shard_bytes:
-            cuts.append(low)
+            cuts.append(begin)
             filled = 0
         filled += size
-    return cuts
-
-
-def _shard(cuts: list[int]) -> Column:
-    """The shard of a page: how many cuts lie at or below its id; pages without id are spread."""
-    spread = F.pmod(F.xxhash64("url", "digest"), F.lit(len(cuts) + 1)).cast("int")
-    if not cuts:
-        return F.lit(0)
-    # A balanced tree of comparisons: as deep as the logarithm of the number of shards.
+    bins = []
+    for b in occupied:
+        first, end = bisect_right(cuts, b * first_width), bisect_right(cuts, (b + 1) * first_width - 1)
+        bins.append((b, first, [low + c for c in cuts[first:end]]))
+    return Ranges(low, first_width, bins, len(cuts) + 1)
 
-    def tree(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(low)
-        middle = (low + high) // 2
-        return F.when(F.col("page_id") < cuts[middle], tree(low, middle)).otherwise(tree(middle + 1, high))
 
-    return F.when(F.col("page_id").isNull(), spread).otherwise(tree(0, len(cuts)))
+def _with_shard(records: DataFrame, ranges: Ranges) -> DataFrame:
+    """Add the shard of each record; records without page id are spread."""
+    bins = records.sparkSession.createDataFrame(ranges.bins, "bin long, first int, cuts array<long>")
+    # At most MOST_BINS rows.
+    placed = records.withColumn("bin", _bin(ranges.low, ranges.width)).join(F.broadcast(bins), "bin", "left")
+    further = F.size(F.filter("cuts", lambda cut: cut <= F.col("page_id")))
+    spread = F.pmod(F.xxhash64("url", "digest"), F.lit(ranges.shards)).cast("int")
+    return placed.withColumn("shard", F.when(F.col("page_id").isNull(), spread).otherwise(F.col("first") + further))
 
 
 def write_archives(pages: DataFrame, folder: str, shard_bytes: int = 256 << 20, roll_bytes: int = 64 << 20, least_bytes: int = 0, date: str = "1970-01-01T00:00:00Z") -> DataFrame:
@@ -185,7 +206,7 @@ def write_archives(pages: DataFrame, folder: str, shard_bytes: int = 256 << 20,
     facts.write.parquet(f"{folder}/facts")
     facts = spark.read.schema(facts.schema).parquet(f"{folder}/facts")
 
-    cuts = _cuts(facts, shard_bytes)
+    ranges = shard_ranges(facts, shard_bytes)
     keepers = (
         facts.where((F.col("bytes") >= least_bytes) & F.col("page_id").isNotNull())
         .groupBy("digest", "bytes")
@@ -198,8 +219,8 @@ def write_archives(pages: DataFrame, folder: str, shard_bytes: int = 256 << 20,
     marks = revisits.select("page_id", none.alias("url"), none.alias("html"), "digest", F.col("keeper").alias("refers_to"))
     records = rows.select("page_id", "url", "html", "digest", F.lit(None).cast("long").alias("refers_to")).unionByName(marks)
     dealt = (
-        records.withColumn("shard", _shard(cuts))
-        .repartitionById(len(cuts) + 1, F.col("shard"))
+        _with_shard(records, ranges)
+        .repartitionById(ranges.shards, F.col("shard"))
         .sortWithinPartitions("page_id", F.col("refers_to").isNull(), "digest", "url")
         .select("shard", "page_id", "url", F.col("html").cast("binary").alias("html"), "digest", "refers_to")
     )

@@ -72,3 +72,28 @@ def test_odd_rows(spark):
     got = lm.score_texts(odd, lm.learn(odd)).collect()
     assert sorted((r["doc_id"] or 0, r["n_tokens"]) for r in got) == [(0, 3), (1, 1), (1, 1), (2, 1), (3, 5001)]
     assert lm.score_texts(odd.limit(0), lm.learn(odd.limit(0))).count() == 0
+
+
+def test_every_pair_counts(spark, sf_dir, monkeypatch):
+    """By default no training pair is too rare for an arc; with rare words as contexts and hardly any arc in the automaton."""
+    monkeypatch.setattr(lm, "HELD", 50)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").where("doc_id < 60").select("doc_id", "text")
+    want = direct({r["doc_id"]: r["text"] for r in docs.collect()}, 0, 0, 0.75)
+    for shares in ({}, {"word_share": 0.005, "hot_share": 0.02}, {"word_share": 0.9}):
+        got = lm.score_texts(docs, lm.learn(docs, **shares)).collect()
+        assert len(got) == len(want)
+        for r in got:
+            w = want[r["doc_id"]]
+            assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == w[:3]
+            assert (r["base_score"], r["score"]) == (pytest.approx(w[3], rel=1e-9), pytest.approx(w[4], rel=1e-9))
+
+
+def test_pairs_below_any_share_are_arcs(spark):
+    """A pair seen twice among 400,000 tokens still tells the text that repeats it from one that does not."""
+    ids = [i for i in range(200) if fold(i, 5) != 1]
+    rows = [(i, "filler words " * 1250) for i in ids] + [(1000 + i, "quartz lantern") for i in range(9)]
+    new = [i for i in range(2000, 2100) if fold(i, 5) == 1][:2]
+    rows += [(new[0], "quartz lantern"), (new[1], "lantern quartz")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["score"] - r["base_score"] for r in lm.score_texts(docs, lm.learn(docs)).collect()}
+    assert got[new[0]] > got[new[1]] + 3

@@ -86,6 +86,59 @@ def test_secret_rows(spark, sf_dir):
     assert secrets.redact(odd.limit(0)).count() == 0 and secrets.find_secrets(odd.limit(0)).count() == 0
 
 
+def _encoded(data):
+    return base64.b64encode(data).decode()
+
+
+FAR = b"lorem ipsum, dolor\n" * 4_000_000 + KEY.encode() + b"\n"
+
+
+@pytest.mark.parametrize(
+    "data",
+    [
+        lambda: gzip.compress(FAR, 1),  # behind 64 MB
+        lambda: gzip.compress("é".encode() * 40_000_000 + b" " + KEY.encode(), 1),
+        lambda: gzip.compress(gzip.compress(FAR, 1)),
+        lambda: gzip.compress(b"first member ") + gzip.compress(KEY.encode()),
+        lambda: b"\0" * 40 + KEY.encode() + b"\0" * 40,
+        lambda: gzip.compress(b"name" + b"\0" * 508 + KEY.encode() + b"\0" * 400),
+        lambda: b"\xff\xfe stray " + KEY.encode(),
+        lambda: KEY.encode("utf-16"),
+        lambda: KEY.encode("utf-16-be"),
+        lambda: KEY.encode("utf-32"),
+    ],
+)
+def test_secrets_in_any_part_of_decoded_layers(data):
+    run = _encoded(data())
+    assert ("assign", 2, 2 + len(run)) in secrets.scan(f"x {run} y")[1]
+
+
+@pytest.mark.parametrize("width", [20, 64, 76])
+@pytest.mark.parametrize("line", ["\n", "\r\n", "\n    "])
+def test_secrets_in_wrapped_base64(width, line):
+    for content in (b"some text " * 4 + KEY.encode() + b" more", gzip.compress(b"some text " * 4 + KEY.encode() + b" more")):
+        run = _encoded(content)
+        run = line.join(run[i : i + width] for i in range(0, len(run), width))
+        for text in (f"-----\n{run}\n-----", f"key: {run}"):
+            at = text.index(run)
+            assert ("assign", at, at + len(run)) in secrets.scan(text)[1]
+
+
+def test_layers_longer_than_a_window(monkeypatch):
+    monkeypatch.setattr(secrets, "WINDOW", 4000)
+    monkeypatch.setattr(secrets, "OVERLAP", 300)
+    monkeypatch.setattr(secrets, "CHUNK", 500)
+    noise = random.Random(3).randbytes(20_000)
+    for size in range(0, 9000, 157):
+        for inner in (KEY.encode(), _encoded(KEY.encode()).encode(), base64.encodebytes(gzip.compress(noise + KEY.encode()))):
+            content = b"word, word " * (size // 11) + b"\n" + inner + b"\n" + b"word, " * 1000
+            run = _encoded(gzip.compress(content))
+            assert ("assign", 0, len(run)) in secrets.scan(run)[1]
+            after = base64.b64encode(noise) + b" and " + inner + b" end"
+            run = _encoded(gzip.compress(b"x" * (size % 7) + b" " + after))
+            assert ("assign", 0, len(run)) in secrets.scan(run)[1]
+
+
 def odd_lit():
     from pyspark.sql import functions as F
 

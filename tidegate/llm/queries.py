@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegate.llm import decontam, langid, lm, minhash, quality, toxicity, warc
+from tidegate.llm import decontam, langid, lm, minhash, periods, prefixes, quality, toxicity, warc
 from tidegate.llm.bpe import encode_texts
 from tidegate.llm.common import table, work_folder
 from tidegate.llm.counts import count_tokens
@@ -62,6 +62,14 @@ def token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return count_tokens(table(spark, sf, "documents"), public_tokenizers.path("piece_bpe_32k.model"), limit=4096)
 
 
+def prefix_trie(spark: SparkSession, sf: str) -> DataFrame:
+    return prefixes.prefix_trie(table(spark, sf, "conversations"))
+
+
+def periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
+    return periods.periodic_runs(table(spark, sf, "documents"), planting=periods.planted)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": secret_scan,
     "op2_language_id": language_id,
@@ -73,5 +81,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxic_passages": toxic_passages,
     "op9_minhash_near_dedup": near_duplicates,
     "op10_token_counts": token_counts,
+    "op11_prefix_trie": prefix_trie,
+    "op13_periodic_runs": periodic_runs,
 }
-

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegate.llm import decontam, langid, lm, minhash, periods, prefixes, quality, toxicity, warc
+from tidegate.llm import decontam, langid, lm, minhash, periods, prefixes, quality, repeats, toxicity, warc
 from tidegate.llm.bpe import encode_texts
 from tidegate.llm.common import table, work_folder
 from tidegate.llm.counts import count_tokens
@@ -66,6 +66,10 @@ def prefix_trie(spark: SparkSession, sf: str) -> DataFrame:
     return prefixes.prefix_trie(table(spark, sf, "conversations"))
 
 
+def repeated_strings(spark: SparkSession, sf: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf, "documents"))
+
+
 def periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
     return periods.periodic_runs(table(spark, sf, "documents"), planting=periods.planted)
 
@@ -82,5 +86,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_minhash_near_dedup": near_duplicates,
     "op10_token_counts": token_counts,
     "op11_prefix_trie": prefix_trie,
+    "op12_repeated_strings": repeated_strings,
     "op13_periodic_runs": periodic_runs,
 }

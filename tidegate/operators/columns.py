@@ -224,6 +224,19 @@ def partition_clauses(typed: DataFrame) -> DataFrame:
     )
 
 
+def quoted_names(entries: Column, limit: int | None = None) -> Column:
+    """The names of an ordered array of columns as one text, quoted where needed; NULL without any."""
+    chosen = entries if limit is None else F.slice(entries, 1, limit)
+    quoted = F.transform(chosen, lambda e: names.quote_name(e["column_name"]))
+    return F.when(F.size(chosen) > 0, F.array_join(quoted, ", "))
+
+
+def flagged_entries(flag: str) -> Column:
+    """Aggregate: the columns under a flag as an array in order of (column_id, column_name)."""
+    entry = F.struct("column_id", "column_name")
+    return F.array_sort(F.collect_list(F.when(is_flagged(F.col(flag)), entry)))
+
+
 def cluster_columns(records: DataFrame, max_columns: int | None = None) -> DataFrame:
     """Per table, the flagged clustering columns in order as one clause.
 

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegate.operators import audits
@@ -21,7 +22,7 @@ def migration_report(
     """``check, subject, violations``: types, lengths, NOT NULL, conditions, keys and references.
 
     Everything about single rows is counted in one scan (per ``audits.COLUMNS_PER_SCAN`` entries);
-    each key and each reference adds one shuffle of its key columns. For keys, violations are the
+    all keys and references are one more scan and one shuffle (``broken_keys``). For keys, violations are the
     rows under a broken key.
     """
     checks = checks or {}
@@ -43,16 +44,75 @@ def migration_report(
         add("check", name, ~F.expr(condition))
     report = audits.count_tall(df, rows, "check string, subject string, violations long")
 
-    def total(check: str, subject: str, broken: DataFrame, rows: str) -> DataFrame:
-        return broken.agg(F.coalesce(F.sum(rows), F.lit(0)).alias("violations")).select(
-            F.lit(check).alias("check"), F.lit(subject).alias("subject"), "violations"
-        )
-
     keys = [c.name for c in spec if c.primary_key]
-    if keys:
-        report = report.unionByName(total("primary key", ", ".join(keys), audits.pk_audit(df, keys), "rows"))
-    for name, columns in (unique or {}).items():
-        report = report.unionByName(total("unique", name, audits.unique_audit(df, columns), "rows"))
+    rules = [Rule("primary key", ", ".join(keys), tuple(keys))] if keys else []
+    rules += [Rule("unique", name, tuple(columns)) for name, columns in (unique or {}).items()]
     for name, (parent, pairs) in (parents or {}).items():
-        report = report.unionByName(total("foreign key", name, audits.fk_audit(df, parent, pairs), "orphan_rows"))
-    return report
+        rules.append(Rule("foreign key", name, tuple(pairs.keys()), parent, tuple(pairs.values())))
+    return report.unionByName(broken_keys(df, rules)) if rules else report
+
+
+@dataclass(frozen=True)
+class Rule:
+    """A key of a table, and for a foreign key the table that it refers to."""
+
+    check: str
+    subject: str
+    columns: tuple[str, ...]
+    parent: DataFrame | None = None
+    parent_columns: tuple[str, ...] = ()
+
+
+def _keyed(df: DataFrame, sides: Sequence[tuple[int, Sequence[str]]], widths: Sequence[int], rows: Column) -> DataFrame:
+    """``rule``, one column per column of every rule's key, and ``rows``: a row of ``df`` for each rule of its sides.
+
+    The columns of other rules are NULL. A row whose key has a NULL is there for the primary key only, rule 0 or none.
+    """
+    rule = F.explode(F.array(*[F.lit(number) for number, _ in sides])).alias("rule")
+    needed = list(dict.fromkeys(c for _, columns in sides for c in columns))
+    each = df.select(*[F.col(f"`{c}`").alias(f"v{i}") for i, c in enumerate(needed)], rows.alias("rows"), rule)
+    kept = F.lit(False)
+    cells = {}
+    for number, columns in sides:
+        values = [F.col(f"v{needed.index(c)}") for c in columns]
+        whole = F.lit(True)
+        for place, value in enumerate(values):
+            whole = whole & value.isNotNull()
+            cells[f"k{number}_{place}"] = F.when(F.col("rule") == number, value)
+        kept = kept | ((F.col("rule") == number) & (whole if number else F.lit(True)))
+    absent = F.lit(None)
+    names = [f"k{number}_{place}" for number, width in enumerate(widths) for place in range(width)]
+    return each.filter(kept).select("rule", *[cells.get(name, absent).alias(name) for name in names], "rows")
+
+
+def broken_keys(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """``check, subject, violations`` of keys and references: the rows of ``df`` under a broken one.
+
+    All rules are one stream of (rule, key) rows, from one scan of ``df`` and one of every parent, counted per task
+    before its only shuffle. A primary key is broken by a NULL or a second row, a unique key by a second row, a
+    foreign key by the lack of a parent row; child and parent meet as counts of one key. Types of both sides of a
+    reference are widened as in a union.
+    """
+    # Rule 0 is the primary key, whose NULLs count; without one it stays empty.
+    primary = [r for r in rules if r.check == "primary key"]
+    others = [r for r in rules if r.check != "primary key"]
+    numbered = list(enumerate([*primary, *others], start=0 if primary else 1))
+    widths = [0] * (0 if primary else 1) + [len(r.columns) for _, r in numbered]
+    stream = _keyed(df, [(number, r.columns) for number, r in numbered], widths, F.lit(1).cast("long"))
+    for number, r in numbered:
+        if r.parent is not None:
+            stream = stream.unionByName(_keyed(r.parent, [(number, r.parent_columns)], widths, F.lit(0).cast("long")))
+    names = [c for c in stream.columns if c not in ("rule", "rows")]
+    counted = stream.groupBy("rule", *names).agg(F.sum("rows").alias("rows"), F.min("rows").alias("least"))
+    found = []
+    for number, r in numbered:
+        if r.parent is not None:  # a parent's rows count 0
+            broken = F.col("least") > 0
+        else:
+            broken = F.col("rows") > 1
+            if not number:
+                for place in range(widths[0]):
+                    broken = broken | F.col(f"k0_{place}").isNull()
+        lost = F.when((F.col("rule") == number) & broken, F.col("rows"))
+        found.append({"check": r.check, "subject": r.subject, "violations": F.coalesce(F.sum(lost), F.lit(0))})
+    return audits.count_tall(counted, found, "check string, subject string, violations long")

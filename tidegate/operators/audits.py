@@ -138,19 +138,57 @@ def unique_audit(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def fk_audit(child: DataFrame, parent: DataFrame, pairs: Mapping[str, str]) -> DataFrame:
+def fk_audit(
+    child: DataFrame, parent: DataFrame, pairs: Mapping[str, str], bitmap_bytes: int = 0
+) -> DataFrame:
     """Child keys without a parent row, with the number of orphan rows of each.
 
     Both sides are reduced to distinct keys before they meet, so a hot key is one row on each
     side, and the anti join reuses the partitioning of both aggregates.
+
+    ``bitmap_bytes`` is for a key of one integer column: if a bitmap of the parent's keys takes no more, it goes to
+    every task, and only child rows whose bit is not set are counted and shuffled, none where the reference holds.
+    Its size is counted first, in a scan of the parent's key.
     """
     child_keys, parent_keys = list(pairs.keys()), list(pairs.values())
-    counted = child.filter(~_any_null(child_keys)).groupBy(*child_keys).agg(F.count("*").alias("orphan_rows"))
+    rows = child.filter(~_any_null(child_keys))
+    if bitmap_bytes and len(pairs) == 1 and _integers(child, child_keys) and _integers(parent, parent_keys):
+        known = key_bitmaps(parent, parent_keys[0])
+        if known.select("_bucket").distinct().count() * BITMAP_BYTES <= bitmap_bytes:
+            rows = without_known(rows, child_keys[0], known)
+    counted = rows.groupBy(*child_keys).agg(F.count("*").alias("orphan_rows"))
     known = parent.filter(~_any_null(parent_keys)).select(*parent_keys).distinct()
     match = [counted[c] == known[p] for c, p in pairs.items()]
     return counted.join(known, match, "left_anti")
 
 
+# Bytes of one bitmap, a constant of Spark's bitmap functions: eight keys each.
+BITMAP_BYTES = 4096
+
+
+def _integers(df: DataFrame, columns: Sequence[str]) -> bool:
+    return all(isinstance(df.schema[c].dataType, T.IntegralType) for c in columns)
+
+
+def key_bitmaps(df: DataFrame, key: str) -> DataFrame:
+    """``_bucket, _bits``: the keys of an integer column as bitmaps of 32,768 keys."""
+    value = F.col(f"`{key}`").cast("bigint")
+    keyed = df.filter(value.isNotNull()).select(
+        F.bitmap_bucket_number(value).alias("_bucket"), F.bitmap_bit_position(value).alias("_bit")
+    )
+    return keyed.groupBy("_bucket").agg(F.bitmap_construct_agg("_bit").alias("_bits"))
+
+
+def without_known(df: DataFrame, key: str, bitmaps: DataFrame) -> DataFrame:
+    """Rows whose key has no bit; the bitmaps go to every task, so their size must have been checked."""
+    value = F.col(f"`{key}`").cast("bigint")
+    place = F.bitmap_bit_position(value)
+    byte = F.conv(F.hex(F.substring(F.col("_bits"), (F.floor(place / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    unset = F.col("_bits").isNull() | (F.floor(byte / F.pow(F.lit(2), place % 8)) % 2 == 0)
+    joined = df.join(F.broadcast(bitmaps), F.bitmap_bucket_number(value) == F.col("_bucket"), "left")
+    return joined.filter(unset).drop("_bucket", "_bits")
+
+
 def check_audit(df: DataFrame, checks: Mapping[str, str]) -> DataFrame:
     """Per named condition (Spark SQL): rows that violate it, and rows where it is unknown.
 

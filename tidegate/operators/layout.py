@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Sequence
+from dataclasses import dataclass
 from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 DAY = "day"
+PARTITIONS_PER_STATEMENT = 500
 
 
 def refuse_clash(df: DataFrame, name: str) -> None:
@@ -28,14 +32,92 @@ def row_spread(df: DataFrame) -> Column:
     return F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
 
 
+@dataclass(frozen=True)
+class DayFolders:
+    """A table of day folders whose days are replaced together.
+
+    New days are written to a staging folder first. A manifest that names it, made by one rename, is the commit;
+    then folders are renamed day by day, and the manifest goes last. A driver that is lost before the commit leaves
+    the old days; one that is lost after it leaves a manifest, and whoever opens the table next carries on. So the
+    days are all old or all new, for readers that open the table here. Names that begin with ``_`` are hidden from
+    Spark. It needs a file system with atomic renames; the driver holds one name per replaced day.
+    """
+
+    spark: SparkSession
+    path: str
+
+    def _at(self, *names: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path("/".join([self.path.rstrip("/"), *names]))
+
+    @property
+    def _files(self):
+        return self._at().getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _names(self, *folder: str) -> list[str]:
+        files, at = self._files, self._at(*folder)
+        return sorted(s.getPath().getName() for s in files.listStatus(at)) if files.exists(at) else []
+
+    def stage(self, rows: DataFrame, day: str) -> str:
+        """Write rows as day folders that nobody sees yet; return the name of the change."""
+        change = uuid.uuid4().hex
+        rows.write.partitionBy(day).parquet(f"{self.path.rstrip('/')}/_staged-{change}")
+        return change
+
+    def commit(self, change: str) -> None:
+        """From here on the staged days are the table's."""
+        temporary, manifest = self._at(f"_draft-{change}"), self._at(f"_replace-{change}")
+        self._files.create(temporary, True).close()
+        if not self._files.rename(temporary, manifest):
+            raise OSError(f"could not commit {manifest}")
+
+    def finish(self) -> None:
+        """Carry out whatever is committed; renames that were made before are left out."""
+        for name in self._names():
+            if not name.startswith("_replace-"):
+                continue
+            change = name.removeprefix("_replace-")
+            staged, old = f"_staged-{change}", f"_old-{change}"
+            self._files.mkdirs(self._at(old))
+            for folder in self._names(staged):
+                if "=" not in folder:
+                    continue
+                # A day that was moved away, but not replaced yet, is found under the old ones.
+                if self._files.exists(self._at(folder)):
+                    self._move(self._at(folder), self._at(old, folder))
+                self._move(self._at(staged, folder), self._at(folder))
+            for done in (staged, old, name):
+                self._files.delete(self._at(done), True)
+
+    def _move(self, source, target) -> None:
+        if not self._files.rename(source, target):
+            raise OSError(f"could not move {source} to {target}")
+
+    def open(self) -> DataFrame:
+        self.finish()
+        return self.spark.read.parquet(self.path)
+
+
+def replace_day_folders(rows: DataFrame, path: str, day: str = DAY) -> None:
+    """Replace the days present in ``rows``, all or none of them (see ``DayFolders``)."""
+    table = DayFolders(rows.sparkSession, path)
+    table.finish()
+    table.commit(table.stage(rows, day))
+    table.finish()
+
+
 def day_writer(rows: DataFrame, mode: str) -> DataFrameWriter:
-    """A writer for ``errorifexists``, ``overwrite``, ``append``, or ``replace_days``, which replaces only
-    the partitions present in ``rows``; the session's own overwrite mode plays no part."""
-    if mode == "replace_days":
-        return rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    """A writer for ``errorifexists``, ``overwrite`` or ``append``; the session's own overwrite mode plays no part."""
     return rows.write.mode(mode).option("partitionOverwriteMode", "static")
 
 
+def write_day_folders(rows: DataFrame, path: str, mode: str, day: str) -> None:
+    """Write rows that have a day; ``replace_days`` replaces only the days present in them, all or none."""
+    if mode == "replace_days":
+        replace_day_folders(rows, path, day)
+    else:
+        day_writer(rows, mode).partitionBy(day).parquet(path)
+
+
 def write_by_day(df: DataFrame, ts: str, path: str, mode: str = "errorifexists", day: str = DAY) -> None:
     """Write Parquet partitioned by day, in a column of the name ``day``.
 
@@ -44,7 +126,7 @@ def write_by_day(df: DataFrame, ts: str, path: str, mode: str = "errorifexists",
     few files per day, and a day that holds much of the table is split over several tasks.
     """
     rows = with_day(df, ts, day).hint("rebalance", F.col(day))
-    day_writer(rows, mode).partitionBy(day).parquet(path)
+    write_day_folders(rows, path, mode, day)
 
 
 def cluster_layout(
@@ -78,8 +160,11 @@ def write_clustered(
     """
     if mode == "replace_days" and not ts:
         raise ValueError("days can only be replaced in a table that is partitioned by day")
-    writer = day_writer(cluster_layout(df, cluster_by, ts, partitions, day), mode)
-    (writer.partitionBy(day) if ts else writer).parquet(path)
+    rows = cluster_layout(df, cluster_by, ts, partitions, day)
+    if ts:
+        write_day_folders(rows, path, mode, day)
+    else:
+        day_writer(rows, mode).parquet(path)
 
 
 def _at(day: date, df: DataFrame, ts: str) -> Column:
@@ -104,13 +189,45 @@ def expired_days(df: DataFrame, ts: str, as_of: date, days: int) -> DataFrame:
     return gone.groupBy(F.to_date(F.col(f"`{ts}`")).alias(DAY)).agg(F.count("*").alias("rows"))
 
 
+def partition_days(spark: SparkSession, name: str, day: str = DAY) -> list[date]:
+    """The days that a stored table has, from its list of partitions; rows without a day are in none of them."""
+    values = [row[0].partition("=")[2] for row in spark.sql(f"SHOW PARTITIONS {name}").collect()]
+    return sorted(date.fromisoformat(v) for v in values if re.fullmatch(r"\d{4}-\d{2}-\d{2}", v))
+
+
+def drop_expired(spark: SparkSession, name: str, as_of: date, days: int, day: str = DAY) -> list[date]:
+    """Drop the days before ``as_of - days`` of a stored table that is partitioned by ``day``; return them.
+
+    Partitions go as a whole, from the table's list of them: no data file is opened. The partition of rows
+    without a timestamp stays. Dropping a partition of an external table leaves its files, so those are deleted
+    after the table has forgotten them; a driver that is lost in between leaves files that no query reads, and
+    the next run, which looks at the folders too, removes them. Driver memory holds one date per day.
+    """
+    cutoff = as_of - timedelta(days=days)
+    gone = [found for found in partition_days(spark, name, day) if found < cutoff]
+    for start in range(0, len(gone), PARTITIONS_PER_STATEMENT):
+        some = ", ".join(f"PARTITION ({day} = DATE '{d.isoformat()}')" for d in gone[start : start + PARTITIONS_PER_STATEMENT])
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {some}")
+    about = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    root = spark._jvm.org.apache.hadoop.fs.Path(about["Location"])
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    left = [status.getPath() for status in files.listStatus(root) if status.isDirectory()]
+    for folder in left:
+        found = re.fullmatch(rf"{re.escape(day)}=(\d{{4}}-\d{{2}}-\d{{2}})", folder.getName())
+        if found and date.fromisoformat(found[1]) < cutoff:
+            files.delete(folder, True)
+            gone.append(date.fromisoformat(found[1]))
+    spark.catalog.refreshTable(name)
+    return sorted(set(gone))
+
+
 def read_days(spark: SparkSession, path: str, ts: str, start: date, end: date) -> DataFrame:
     """Rows of the days ``start`` to ``end`` (both included) of a table from ``write_by_day``.
 
     The day condition prunes folders and the timestamp condition prunes row groups; a timestamp
-    condition alone would open every folder.
+    condition alone would open every folder. A replacement that a lost driver left half done is finished first.
     """
-    df = spark.read.parquet(path)
+    df = DayFolders(spark, path).open()
     moment = F.col(f"`{ts}`")
     return df.filter(
         (F.col(DAY) >= F.lit(start))

@@ -35,6 +35,15 @@ def day_profile(df: DataFrame, ts: str) -> DataFrame:
     return days.withColumn("share", F.col("rows") / days.select(overall).scalar()["rows"])
 
 
+def date_columns(df: DataFrame) -> list[str]:
+    """The columns that could partition a table by day."""
+    dated = (T.DateType, T.TimestampType, T.TimestampNTZType)
+    columns = [f.name for f in df.schema.fields if isinstance(f.dataType, dated)]
+    if not columns:
+        raise ValueError("no date or timestamp column")
+    return columns
+
+
 def partition_candidates(df: DataFrame) -> DataFrame:
     """Every date or timestamp column as a partition column: days, rows per day, NULL rows, and
     its rank (fewest NULLs, then most days).
@@ -42,12 +51,15 @@ def partition_candidates(df: DataFrame) -> DataFrame:
     All candidate columns in one scan: each row gives one (column, day) per candidate, and these
     are counted before the shuffle.
     """
-    dated = (T.DateType, T.TimestampType, T.TimestampNTZType)
-    columns = [f.name for f in df.schema.fields if isinstance(f.dataType, dated)]
-    if not columns:
-        raise ValueError("no date or timestamp column")
-    entries = [F.struct(F.lit(c).alias("column_name"), F.to_date(F.col(f"`{c}`")).alias("day")) for c in columns]
+    entries = [
+        F.struct(F.lit(c).alias("column_name"), F.to_date(F.col(f"`{c}`")).alias("day")) for c in date_columns(df)
+    ]
     per_day = df.select(F.inline(F.array(*entries))).groupBy("column_name", "day").agg(F.count("*").alias("rows"))
+    return candidates_of(per_day)
+
+
+def candidates_of(per_day: DataFrame) -> DataFrame:
+    """Candidate columns, ranked, from (column_name, day, rows)."""
     has_day = F.col("day").isNotNull()
     counted = per_day.groupBy("column_name").agg(
         F.count("day").alias("days"),

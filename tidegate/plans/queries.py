@@ -8,7 +8,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.operators import audits, columns, layout, profiles
+from tidegate.operators import audits, columns, kept_profiles, layout, profiles
 from tidegate.operators.spec import SourceColumn, convert_table, resolve
 from tidegate.plans import sample_catalogs as samples
 from tidegate.plans.catalog_rules import catalog_report, table_rules
@@ -127,6 +127,12 @@ def fk_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audits.fk_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), {"doc_id": "doc_id"})
 
 
+def fk_audit_bitmap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, with a bitmap of the labelled ids ahead of the shuffle."""
+    documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return audits.fk_audit(documents, labels, {"doc_id": "doc_id"}, bitmap_bytes=64 << 20)
+
+
 def fk_audit_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audits.fk_audit(
         table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders"), {"l_orderkey": "o_orderkey"}
@@ -205,12 +211,52 @@ def partition_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profiles.partition_candidates(orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left"))
 
 
+def _written_in_two(spark: SparkSession, sf_dir: str, name: str, update: Callable[[str, str], object]) -> tuple[str, str]:
+    """The events as a stored table that grows by its later days, and a profile brought up to date after each write."""
+    path, store = shared_dir(spark, name), shared_dir(spark, f"{name}-store")
+    events = table(spark, sf_dir, "events")
+    middle = F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
+    layout.write_by_day(events.filter(F.col("ts") < middle), "ts", path)
+    update(path, store)
+    layout.write_by_day(events.filter((F.col("ts") >= middle) | F.col("ts").isNull()), "ts", path, mode="append")
+    update(path, store)
+    return path, store
+
+
+def day_profile_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, store = _written_in_two(spark, sf_dir, "kept", lambda p, s: kept_profiles.update_day_counts(spark, p, s))
+    return kept_profiles.kept_day_profile(spark, path, store, "ts")
+
+
+def rank_kept_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns by distinct values on ten days, from sketches; the names alone, as for the estimates of one scan."""
+
+    def update(path: str, store: str) -> None:
+        kept_profiles.update_sketches(spark, path, store, "ts", ["event_id", "user_id", "event_type"])
+
+    path, store = _written_in_two(spark, sf_dir, "sketched", update)
+    ranked = kept_profiles.rank_kept_keys(spark, path, store, date(2024, 1, 11), date(2024, 1, 20), k=2)
+    return ranked.select("column_name")
+
+
 def write_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "by-day")
     layout.write_by_day(table(spark, sf_dir, "events"), "ts", path)
     return spark.read.parquet(path)
 
 
+def expire_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored table of the events, some without a time, loses its old days for good."""
+    path = shared_dir(spark, "expire-stored")
+    name = "expiring_" + path.rsplit("-", 1)[1]
+    some = F.when(F.col("user_id") % 7 != 0, F.col("ts")).alias("ts")
+    events = table(spark, sf_dir, "events")
+    timed = events.select(*[some if c == "ts" else c for c in events.columns])
+    layout.save_table(layout.with_day(timed, "ts"), name, partition_by=[layout.DAY], path=path)
+    layout.drop_expired(spark, name, date(2024, 1, 31), 10)
+    return spark.table(name)
+
+
 def replace_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Days of the second half are replaced by their corrected clicks; the others stay."""
     path = shared_dir(spark, "replace-days")
@@ -348,7 +394,7 @@ def ddl_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def catalog_to_ddl(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole chain: dictionary views, extract, one row per column, types, definitions."""
     extract = _extract(variant="full", ordered=False)(spark, sf_dir)
-    unique_columns = columns.dedupe(catalog_records(extract))
+    unique_columns = columns.dedupe(catalog_records(extract, numbered=True))
     return table_ddl(columns.type_columns(unique_columns, preserve_string_length=True))
 
 
@@ -370,6 +416,18 @@ def csv_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_catalog_csv(spark, path)
 
 
+def csv_blank_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A CSV catalog in a stated order, a third of whose rows have no COLUMN_ID."""
+    path = shared_dir(spark, "csv-blank")
+    lineitem = table(spark, sf_dir, "lineitem")
+    order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount"]
+    order += [c for c in lineitem.columns if c not in order]
+    given = F.when(F.col("l_partkey") % 3 != 0, F.col("l_linenumber").cast("string")).otherwise("")
+    extract = samples.narrow_extract(lineitem.withColumn("given", given).orderBy(*order), F.col("given"))
+    files.write_catalog_csv(extract, path)
+    return read_catalog_csv(spark, path)
+
+
 def csv_to_ddl(spark: SparkSession, sf_dir: str) -> DataFrame:
     """From a catalog CSV to one definition per table."""
     path = shared_dir(spark, "csv-ddl")
@@ -409,6 +467,7 @@ QUERIES: dict[str, Query] = {
     "unique_audit": _on("lineitem", lambda t: audits.unique_audit(t, ["l_partkey", "l_suppkey"])),
     "unique_null_audit": unique_null_audit,
     "fk_audit": fk_audit,
+    "fk_audit_bitmap": fk_audit_bitmap,
     "fk_audit_clean": fk_audit_clean,
     "check_audit": _on("lineitem", lambda t: audits.check_audit(t, CHECKS)),
     "quarantine": _on("lineitem", rejected),
@@ -428,6 +487,8 @@ QUERIES: dict[str, Query] = {
         lambda t: profiles.number_profile(small_lines(t), ["as_decimal", "as_text", "as_double", "price"]),
     ),
     "day_profile": _on("events", lambda t: profiles.day_profile(t, "ts")),
+    "day_profile_kept": day_profile_kept,
+    "rank_kept_keys": rank_kept_keys,
     "day_profile_lineitem": _on("lineitem", lambda t: profiles.day_profile(t, "l_shipdate")),
     "partition_candidates": partition_candidates,
     "rank_cluster_keys": _on("lineitem", lambda t: profiles.rank_cluster_keys(t, CLUSTER_CANDIDATES, exact=True)),
@@ -444,10 +505,12 @@ QUERIES: dict[str, Query] = {
     "migrate_events": migrate_events,
     "migrate_replace_days": migrate_replace_days,
     "expire_days": _on("events", lambda t: layout.expire_partitions(t, "ts", date(2024, 1, 31), 10)),
+    "expire_stored": expire_stored,
     "expired_days": _on("events", lambda t: layout.expired_days(t, "ts", date(2024, 1, 31), 10)),
     # Catalog intake and extract
     "csv_intake": csv_intake,
     "csv_korean": csv_korean,
+    "csv_blank_ids": csv_blank_ids,
     "csv_gaps": csv_gaps,
     "catalog_records": _narrow(lambda r: r.select(*RECORD_FIELDS, "column_id")),
     "partitioned_tables": _on(

@@ -50,19 +50,23 @@ def _described(lineitem: DataFrame) -> list[Column]:
     ]
 
 
-def narrow_extract(lineitem: DataFrame) -> DataFrame:
-    """Many small tables; a column may appear several times, as in an extract with fan-out."""
+def narrow_extract(lineitem: DataFrame, place: Column | None = None) -> DataFrame:
+    """Many small tables; a column may appear several times, as in an extract with fan-out.
+
+    ``place`` is what stands under COLUMN_ID, by default the line number.
+    """
+    place = F.col("l_linenumber").cast("string") if place is None else place
     return lineitem.select(
         _label("SCHEMA", F.col("l_orderkey") % 5).alias("OWNER"),
         _label("T", F.col("l_orderkey")).alias("TABLE_NAME"),
         _label("C", F.col("l_linenumber")).alias("COLUMN_NAME"),
-        F.col("l_linenumber").cast("string").alias("COLUMN_ID"),
+        place.alias("COLUMN_ID"),
         *_described(lineitem),
     )
 
 
 def narrow_catalog(lineitem: DataFrame) -> DataFrame:
-    return catalog_records(narrow_extract(lineitem))
+    return catalog_records(narrow_extract(lineitem), numbered=True)
 
 
 def wide_extract(lineitem: DataFrame) -> DataFrame:
@@ -90,7 +94,7 @@ def wide_extract(lineitem: DataFrame) -> DataFrame:
 
 
 def wide_catalog(lineitem: DataFrame) -> DataFrame:
-    return catalog_records(wide_extract(lineitem))
+    return catalog_records(wide_extract(lineitem), numbered=True)
 
 
 def huge_catalog(lineitem: DataFrame) -> DataFrame:
@@ -105,7 +109,8 @@ def huge_catalog(lineitem: DataFrame) -> DataFrame:
             name.alias("COLUMN_NAME"),
             (F.col("l_orderkey") * 10).cast("string").alias("COLUMN_ID"),
             *_described(lineitem),
-        )
+        ),
+        numbered=True,
     )
 
 
@@ -147,11 +152,13 @@ def dictionary_views(orders: DataFrame, lineitem: DataFrame) -> DictionaryViews:
         F.when(c("open"), "N").otherwise("Y").alias("NULLABLE"),
         F.lit(None).cast("string").alias("DATA_DEFAULT"),
     )
-    column_comments = described.filter("returned").select(
-        *_table_of("l_orderkey"), named, F.concat(F.lit("ships "), c("shipped").cast("string")).alias("COMMENTS")
+    # As in a dictionary, every column and table has a row; the comment itself may be absent.
+    shipped = F.concat(F.lit("ships "), c("shipped").cast("string"))
+    column_comments = described.select(
+        *_table_of("l_orderkey"), named, F.when(c("returned"), shipped).alias("COMMENTS")
     )
-    table_comments = orders.filter(c("o_orderstatus") != "P").select(
-        *_table_of("o_orderkey"), c("o_orderpriority").alias("COMMENTS")
+    table_comments = orders.select(
+        *_table_of("o_orderkey"), F.when(c("o_orderstatus") != "P", c("o_orderpriority")).alias("COMMENTS")
     )
     constraint = F.explode(
         F.array(*[F.struct(F.lit(p).alias("prefix"), F.lit(k).alias("kind")) for p, k, _ in SAMPLE_CONSTRAINTS])
@@ -187,9 +194,10 @@ def dictionary_views(orders: DataFrame, lineitem: DataFrame) -> DictionaryViews:
 
 
 def partitioned_table_view(orders: DataFrame) -> DataFrame:
-    """Source tables that are partitioned, as the dictionary lists them."""
-    return orders.filter(F.col("o_orderstatus") != "O").select(
+    """Source tables that are partitioned, one per order, as the dictionary lists them."""
+    kind = F.when(F.col("o_orderstatus") == "O", "HASH").when(F.col("o_orderpriority") == "1-URGENT", "LIST")
+    return orders.select(
         *_table_of("o_orderkey"),
-        F.when(F.col("o_orderpriority") == "1-URGENT", "LIST").otherwise("RANGE").alias("PARTITIONING_TYPE"),
+        kind.otherwise("RANGE").alias("PARTITIONING_TYPE"),
         (F.col("o_custkey") % 10 + 1).alias("PARTITION_COUNT"),
     )

@@ -1,12 +1,35 @@
-"""The same questions as plain SQL over the same tables, written apart from the Spark code."""
+"""The same questions as plain SQL over the same tables, written apart from the Spark code, constants included."""
 
 from __future__ import annotations
 
-from tidegate.functions.names import RESERVED_WORDS
-from tidegate.functions.text import WHITE_SPACE
-from tidegate.operators.columns import MAX_CLUSTER_COLUMNS, MAX_KEY_COLUMNS
-from tidegate.plans.ddl import RULE
-from tidegate.plans.sample_catalogs import SAMPLE_CONSTRAINTS, SOURCE_TYPES
+# Words that the target reserves, its limits, and the rule drawn in the merged text.
+RESERVED_WORDS = """
+    ALL AND ANY ARRAY AS ASC ASSERT_ROWS_MODIFIED AT BETWEEN BY CASE CAST COLLATE CONTAINS CREATE CROSS CUBE CURRENT
+    DEFAULT DEFINE DESC DISTINCT ELSE END ENUM ESCAPE EXCEPT EXCLUDE EXISTS EXTRACT FALSE FETCH FOLLOWING FOR FROM FULL
+    GROUP GROUPING GROUPS HASH HAVING IF IGNORE IN INNER INTERSECT INTERVAL INTO IS JOIN LATERAL LEFT LIKE LIMIT LOOKUP
+    MERGE NATURAL NEW NO NOT NULL NULLS OF ON OR ORDER OUTER OVER PARTITION PRECEDING PROTO RANGE RECURSIVE RESPECT
+    RIGHT ROLLUP ROWS SELECT SET SOME STRUCT TABLESAMPLE THEN TO TREAT TRUE UNBOUNDED UNION UNNEST USING WHEN WHERE
+    WINDOW WITH WITHIN
+""".split()
+MAX_KEY_COLUMNS, MAX_CLUSTER_COLUMNS = 16, 4
+RULE = "-- ========================================"
+# What counts as white space, as a character class of code points.
+WHITE_SPACE = (
+    r"[\x{9}-\x{d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}-\x{2029}\x{202f}\x{205f}\x{3000}]"
+)
+# The types that the sample catalogs take in turn, and the constraints of their tables with their columns.
+SOURCE_TYPES = [
+    "NUMBER", "NUMBER", "VARCHAR2", "CHAR", "DATE", "TIMESTAMP(6)", "TIMESTAMP(6) WITH TIME ZONE",
+    "CLOB", "RAW", "INTEGER", "FLOAT", "INTERVAL DAY(2) TO SECOND(6)",
+]
+SAMPLE_CONSTRAINTS = [
+    ("PK_T", "P", ["C1", "C2"]),
+    ("FK_T", "R", ["C2"]),
+    ("UK_T", "U", ["C2", "C3"]),
+    ("CK_T", "C", ["C3"]),
+    ("CK2_T", "C", ["C3", "C4"]),
+    ("SYSTEM_CK_T", "C", ["C1"]),
+]
 
 # --- the sample catalogs -------------------------------------------------------------------------
 
@@ -596,6 +619,9 @@ def _lines_of(text: str, keys: str = "") -> str:
     return f"SELECT {keys} unnest(string_split({text}, chr(10))) AS value"
 
 
+_UNLABELLED = """SELECT d.doc_id, count(*) AS orphan_rows FROM documents d
+WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id) GROUP BY 1"""
+
 SQL: dict[str, str] = {
     "fit_audit": _fit_audit("lineitem", LINEITEM_TYPES),
     "fit_audit_fine_digits": _fit_audit(FINE_LINES, FINE_TYPES),
@@ -616,8 +642,8 @@ FROM {_LABELLED} GROUP BY ALL HAVING count(*) > 1 OR toxic IS NULL""",
     "unique_null_audit": _duplicates(
         f"(SELECT * FROM {_LABELLED} WHERE toxic IS NOT NULL)", "n_chars, toxic"
     ),
-    "fk_audit": """SELECT d.doc_id, count(*) AS orphan_rows FROM documents d
-WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id) GROUP BY 1""",
+    "fk_audit": _UNLABELLED,
+    "fk_audit_bitmap": _UNLABELLED,
     "fk_audit_clean": """SELECT l_orderkey, count(*) AS orphan_rows FROM lineitem
 WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey) GROUP BY 1""",
     "check_audit": "\nUNION ALL\n".join(_check(*item) for item in CHECK_SQL.items()),
@@ -635,6 +661,14 @@ FROM documents""",
     "number_profile": _profiles([_profile(c) for c in _PROFILE_COLUMNS]),
     "number_profile_small": _profiles([_profile(c, SMALL_LINES) for c in ("as_decimal", "as_text", "as_double", "price")]),
     "day_profile": _day_profile("events", "ts"),
+    "day_profile_kept": _day_profile("events", "ts"),
+    "rank_kept_keys": """SELECT column_name FROM (
+  SELECT 'event_id' AS column_name, count(DISTINCT event_id) AS n FROM days
+  UNION ALL SELECT 'user_id', count(DISTINCT user_id) FROM days
+  UNION ALL SELECT 'event_type', count(DISTINCT event_type) FROM days)
+ORDER BY n DESC, column_name LIMIT 2""".replace(
+        "FROM days", "FROM events WHERE ts >= TIMESTAMP '2024-01-11' AND ts < TIMESTAMP '2024-01-21'"
+    ),
     "day_profile_lineitem": _day_profile("lineitem", "l_shipdate"),
     "partition_candidates": f"""SELECT *, row_number() OVER (ORDER BY null_rows, days DESC, column_name) AS rank
 FROM ({" UNION ALL ".join(map(_candidate, ["l_shipdate", "o_orderdate"]))})""",
@@ -681,9 +715,25 @@ FROM cat WHERE data_precision <> ''""",
     "csv_korean": f"WITH {NARROW} SELECT {RECORD}, column_id FROM cat",
     "catalog_records": f"WITH {NARROW} SELECT {RECORD}, column_id FROM cat",
     "partitioned_tables": """SELECT 'SCHEMA' || (o_orderkey % 5) AS OWNER, 'T' || o_orderkey AS TABLE_NAME,
-  CASE WHEN o_orderpriority = '1-URGENT' THEN 'LIST' ELSE 'RANGE' END AS PARTITIONING_TYPE,
+  CASE WHEN o_orderstatus = 'O' THEN 'HASH' WHEN o_orderpriority = '1-URGENT' THEN 'LIST' ELSE 'RANGE' END
+    AS PARTITIONING_TYPE,
   o_custkey % 10 + 1 AS PARTITION_COUNT
-FROM orders WHERE o_orderstatus <> 'O'""",
+FROM orders""",
+    "csv_blank_ids": f"""WITH described AS (
+  SELECT *, CASE WHEN l_partkey % 3 <> 0 THEN l_linenumber END AS given,
+    row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount,
+      l_tax, l_returnflag, l_linestatus, l_shipdate) AS line
+  FROM lineitem),
+cat AS (
+  SELECT 'SCHEMA' || (l_orderkey % 5) AS schema_name, 'T' || l_orderkey AS table_name,
+    'C' || l_linenumber AS column_name,
+    CAST(coalesce(given, coalesce(max(given) OVER (PARTITION BY l_orderkey), 0)
+      + row_number() OVER (PARTITION BY l_orderkey, given IS NULL ORDER BY line)) AS BIGINT) AS column_id, {_DESCRIBED}
+  FROM described)
+SELECT {RECORD}, column_id FROM cat""",
+    "expire_stored": """SELECT event_id, ts, user_id, event_type, value, props, CAST(ts AS DATE) AS day
+FROM (SELECT * REPLACE (CASE WHEN user_id % 7 <> 0 THEN ts END AS ts) FROM events)
+WHERE ts IS NULL OR ts >= TIMESTAMP '2024-01-21 00:00:00'""",
     "partition_keys": f"""WITH {DICTIONARY}
 SELECT OWNER, NAME AS TABLE_NAME, COLUMN_NAME, COLUMN_POSITION FROM all_part_key_columns WHERE OBJECT_TYPE = 'TABLE'""",
     "extract_full": f"WITH {DICTIONARY} {_EXTRACT_FULL}",

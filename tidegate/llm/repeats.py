@@ -15,8 +15,9 @@ before the next batch comes, so n batches leave about log2(n) levels and every s
 
 **Long matches.** The windows of one anchor form a segment. Matched segments get two 64-bit digests of all their
 bytes: if another segment has the same, all its windows repeat. Where segments agree at the anchor but differ as a
-whole, one segment of each kind is opened and its windows are compared one by one, again by two digests. So the
-result is exact, as far as 128 bits tell strings apart.
+whole, and one of them is the only one of its kind, one segment of each kind is opened and its windows are compared
+one by one, again by two digests: the bytes of up to ``MOST_KINDS`` kinds meet in one task, more kinds are compared
+window by window all over the cluster. So the result is exact, as far as 128 bits tell strings apart.
 
 Equal texts are one text with a number of copies from the start: with two copies, all its windows repeat. Texts are
 written once, bucketed by their digest; later passes bring their findings to them and don't move texts again.
@@ -30,14 +31,14 @@ are ignored, whatever their names.
 from __future__ import annotations
 
 import hashlib
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidegate.llm.bucketed import Bucketed
 from tidegate.llm.common import batched, byte_texts, cut, work_folder
 from tidegate.llm.words import mix
 
@@ -45,6 +46,8 @@ from tidegate.llm.words import mix
 LENGTH, HEAD = 200, 64
 #: Batches that a table is fed to the index in.
 BATCHES = 4
+#: Kinds of segments with one key whose bytes are compared by one task; their windows are rows of their own beyond.
+MOST_KINDS = 4096
 #: Bytes of text per pass, and of a part of a long text; memory only. Places in a part have 20 bits.
 PASS_BYTES = 1 << 20
 PART = 1 << 19
@@ -190,35 +193,6 @@ def _suffixes(texts: DataFrame) -> DataFrame:
     return texts.select("o1", "text").mapInArrow(run, "key long, owner long, place long")
 
 
-class Bucketed:
-    """Tables below a folder, bucketed and sorted by one column; they are known to the session until dropped."""
-
-    def __init__(self, spark: SparkSession, folder: str, buckets: int) -> None:
-        self.spark, self.folder, self.buckets = spark, folder, buckets
-        self._prefix, self._known = f"tidegate_{uuid.uuid4().hex[:12]}", []
-
-    def write(self, rows: DataFrame, name: str, by: str, parts: str | None = None) -> DataFrame:
-        """``rows`` have to lie in ``buckets`` partitions by the column already."""
-        table = f"{self._prefix}_{name}"
-        writer = rows.write.format("parquet").bucketBy(self.buckets, by).sortBy(by)
-        if parts:
-            writer = writer.partitionBy(parts)
-        writer.option("path", f"{self.folder}/{name}").saveAsTable(table)
-        self._known.append(name)
-        return self.spark.table(table)
-
-    def drop(self, name: str) -> None:
-        """Forget the table and delete its files."""
-        self.spark.sql(f"DROP TABLE IF EXISTS {self._prefix}_{name}")
-        self._known.remove(name)
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
-
-    def drop_all(self) -> None:
-        for name in list(self._known):
-            self.drop(name)
-
-
 class SuffixLevels:
     """Suffix arrays of batches, merged like the digits of a binary counter."""
 
@@ -227,14 +201,11 @@ class SuffixLevels:
         #: (batches, table name) of each level, oldest first.
         self.levels: list[tuple[int, str]] = []
 
-    def _rows(self, name: str) -> DataFrame:
-        return self._tables.spark.table(f"{self._tables._prefix}_{name}")
-
     def _merge(self) -> None:
         """Levels of one size become one of twice the size, from the newest on."""
         while len(self.levels) > 1 and self.levels[-1][0] == self.levels[-2][0]:
             (size, newer), (_, older) = self.levels.pop(), self.levels.pop()
-            both = self._rows(older).unionByName(self._rows(newer))
+            both = self._tables.rows(older).unionByName(self._tables.rows(newer))
             # The rank makes the merge run bucket by bucket; nothing is moved.
             rank = F.row_number().over(Window.partitionBy("key").orderBy("owner", "place"))
             merged = both.withColumn("rank", rank).where("rank > 0").select("key", "owner", "place")
@@ -254,9 +225,9 @@ class SuffixLevels:
         name = f"batch{self._count}"
         suffixes = _suffixes(texts).repartition(self._tables.buckets, "key")
         self._tables.write(suffixes, name, "key")
-        every = self._rows(name).withColumn("old", F.lit(0))
+        every = self._tables.rows(name).withColumn("old", F.lit(0))
         for _, level in self.levels:
-            every = every.unionByName(self._rows(level).withColumn("old", F.lit(1)))
+            every = every.unionByName(self._tables.rows(level).withColumn("old", F.lit(1)))
         self.levels.append((1, name))
         group = Window.partitionBy("key")
         counted = every.select("*", F.count(F.lit(1)).over(group).alias("all"), F.sum("old").over(group).alias("before"))
@@ -340,6 +311,78 @@ def _windows(texts: DataFrame) -> DataFrame:
     return texts.select("o1", "o2", "text", "span", "alone").mapInArrow(run, ", ".join(f"{c} long" for c in names))
 
 
+def _contents(texts: DataFrame) -> DataFrame:
+    """(key, o1, o2, span, alone, bytes) of the listed spans: all bytes that their windows cover."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batched(batches, PASS_BYTES):
+            lengths = batch.column(3).value_lengths()
+            at = pa.array(np.repeat(np.arange(batch.num_rows), lengths.to_numpy()))
+            spans = batch.column(3).flatten()
+            contents = []
+            for owner, one in zip(at.to_pylist(), spans.to_pylist(), strict=True):
+                first = one >> 8
+                contents.append(batch.column(2)[owner].as_buffer()[first : first + (one & 255) + LENGTH].to_pybytes())
+            columns = [batch.column(5).flatten(), batch.column(0).take(at), batch.column(1).take(at), spans]
+            yield pa.RecordBatch.from_arrays([*columns, batch.column(4).flatten(), pa.array(contents, pa.binary())], names)
+
+    names = ["key", "o1", "o2", "span", "alone", "content"]
+    types = "key long, o1 long, o2 long, span long, alone long, content binary"
+    return texts.select("o1", "o2", "text", "span", "alone", "key").mapInArrow(run, types)
+
+
+def _shared_windows(rows: pa.Table) -> pa.RecordBatch | None:
+    """(o1, o2, span) of the windows, in runs, that lone segments share with another segment of the table."""
+    contents = rows.column("content").to_pylist()
+    counts = np.array([len(c) - LENGTH + 1 for c in contents], dtype=np.int64)
+    begins = np.cumsum([0, *[len(c) for c in contents[:-1]]])
+    owner = np.repeat(np.arange(len(contents)), counts)
+    inside = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+    strings = Strings(np.frombuffer(b"".join(contents), dtype=np.uint8))
+    starts = begins[owner] + inside
+    digests = np.stack([strings.digests(starts, starts + LENGTH, i) for i in (0, 1)])
+    order = np.lexsort(digests)
+    same = (digests[:, order[1:]] == digests[:, order[:-1]]).all(axis=0)
+    shared = np.zeros(len(starts), dtype=bool)
+    shared[order[1:][same]] = shared[order[:-1][same]] = True
+    shared &= rows.column("alone").to_numpy()[owner] == 1
+    at = np.flatnonzero(shared)
+    if not len(at):
+        return None
+    fresh = np.ones(len(at), dtype=bool)
+    fresh[1:] = (at[1:] != at[:-1] + 1) | (owner[at[1:]] != owner[at[:-1]])
+    heads = np.flatnonzero(fresh)
+    tails = np.concatenate([heads[1:] - 1, [len(at) - 1]])
+    low = (rows.column("span").to_numpy() >> 8)[owner[at[heads]]]
+    spans = span(low + inside[at[heads]], low + inside[at[tails]])
+    owners = pa.array(owner[at[heads]])
+    columns = [rows.column(c).take(owners).combine_chunks() for c in ("o1", "o2")]
+    return pa.RecordBatch.from_arrays([*columns, _signed(spans)], ["o1", "o2", "span"])
+
+
+def _compared(contents: DataFrame) -> DataFrame:
+    """``_shared_windows`` of all segments with one key, which are few enough for one task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batched(batches, PASS_BYTES):
+            keys = batch.column(0).to_numpy()
+            # All keys but the last one of the batch are complete.
+            cut_at = int(np.searchsorted(keys, keys[-1], side="left"))
+            if cut_at or (held and held[-1].column(0)[-1].as_py() != keys[0]):
+                found = _shared_windows(pa.Table.from_batches([*held, batch.slice(0, cut_at)]))
+                held = []
+                if found is not None:
+                    yield found
+            held.append(batch.slice(cut_at))
+        if held:
+            found = _shared_windows(pa.Table.from_batches(held))
+            if found is not None:
+                yield found
+
+    return contents.repartition("key").sortWithinPartitions("key").mapInArrow(run, "o1 long, o2 long, span long")
+
+
 def kept(text: bytes, spans: np.ndarray, copies: int) -> tuple[int, int, int, str]:
     """(n_bytes, n_removed, n_spans, kept_sha256) of a text."""
     if copies > 1 and len(text) >= LENGTH:
@@ -381,7 +424,7 @@ def find_repeats(docs: DataFrame, text_column: str, folder: str, batches: int =
         texts = tables.write(whole, "texts", "o1", "batch").drop("batch")
         index, places = SuffixLevels(tables), []
         for batch in range(batches):
-            some = spark.table(f"{tables._prefix}_texts").where(F.col("batch") == batch)
+            some = tables.rows("texts").where(F.col("batch") == batch)
             places.append(cut(index.add(some), folder, f"places{batch}"))
         every = places[0]
         for more in places[1:]:
@@ -393,13 +436,17 @@ def find_repeats(docs: DataFrame, text_column: str, folder: str, batches: int =
         )
         kinds = cut(kinds, folder, "kinds")
         same = found.join(kinds.where("times > 1").select("key", "s1", "s2"), ["key", "s1", "s2"])
-        several = kinds.groupBy("key").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1").select("key")
-        several = cut(several, folder, "several")
-        opened = kinds.join(several, "key").select("one.*", (F.col("times") == 1).cast("long").alias("alone"))
-        windows = cut(_windows(_with_spans(texts, opened, buckets, ["span", "alone"], "inner")), folder, "windows")
+        several = kinds.groupBy("key").agg(F.count(F.lit(1)).alias("kinds"), F.min("times").alias("least"))
+        several = cut(several.where("kinds > 1 and least = 1").select("key", "kinds"), folder, "several")
+        opened = kinds.join(several, "key").select("one.*", "key", "kinds", (F.col("times") == 1).cast("long").alias("alone"))
+        opened = cut(opened, folder, "opened")
+        few, many = opened.where(F.col("kinds") <= MOST_KINDS), opened.where(F.col("kinds") > MOST_KINDS)
+        open_spans = _compared(_contents(_with_spans(texts, few, buckets, ["span", "alone", "key"], "inner")))
+        windows = cut(_windows(_with_spans(texts, many, buckets, ["span", "alone"], "inner")), folder, "windows")
         again = windows.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("times"))
         again = cut(again.where("times > 1").select("w1", "w2"), folder, "again")
-        open_spans = windows.where("alone = 1").join(again, ["w1", "w2"]).select("o1", "o2", "span")
+        hot_spans = windows.where("alone = 1").join(again, ["w1", "w2"]).select("o1", "o2", "span")
+        open_spans = open_spans.unionByName(hot_spans)
         spans = same.select("o1", "o2", "span").unionByName(open_spans)
         return cut(_verdicts(_with_spans(texts, spans, buckets, ["span"], "left")), folder, "verdicts")
     finally:

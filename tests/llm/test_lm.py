@@ -6,7 +6,7 @@ from collections import Counter
 
 import pytest
 
-from tidegate.llm import lm
+from tidegate.llm import lm, lm_corpus
 
 END = lm.END
 
@@ -97,3 +97,34 @@ def test_pairs_below_any_share_are_arcs(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r["doc_id"]: r["score"] - r["base_score"] for r in lm.score_texts(docs, lm.learn(docs)).collect()}
     assert got[new[0]] > got[new[1]] + 3
+
+
+@pytest.mark.parametrize("chunk_bytes", [1 << 20, 3000])
+def test_corpus_equals_direct(spark, sf_dir, monkeypatch, chunk_bytes):
+    """Scores by chunks are those of the whole model, however the texts are dealt."""
+    monkeypatch.setattr(lm_corpus, "CHUNK_BYTES", chunk_bytes)
+    monkeypatch.setattr(lm_corpus, "PASS_BYTES", 2000)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").where("doc_id < 60").select("doc_id", "text")
+    want = direct({r["doc_id"]: r["text"] for r in docs.collect()}, 0, 0, 0.75)
+    got = lm_corpus.score_corpus(docs.repartition(3)).collect()
+    assert len(got) == len(want)
+    for r in got:
+        w = want[r["doc_id"]]
+        assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == w[:3]
+        assert r["held_out"] == (fold(r["doc_id"], 5) == 1)
+        assert (r["base_score"], r["score"]) == (pytest.approx(w[3], rel=1e-9), pytest.approx(w[4], rel=1e-9))
+
+
+def test_corpus_odd_rows(spark):
+    rows = [(1, None, 1.0), (1, None, 1.0), (None, "a b", 2.0), (2, "", None), (3, "x " * 5000, 0.0), (6, "A\tb", 1.0)]
+    odd = spark.createDataFrame(rows, "doc_id long, text string, score double").withColumnRenamed("score", "chunk")
+    got = lm_corpus.score_corpus(odd).collect()
+    want = lm.score_texts(odd, lm.learn(odd)).collect()
+    key = lambda r: (r["doc_id"] or 0, r["n_tokens"], r["n_known"], r["train_tokens"], r["held_out"])
+    assert sorted(map(key, got)) == sorted(map(key, want))
+    for name in ("base_score", "score"):
+        assert sorted(r[name] for r in got) == pytest.approx(sorted(r[name] for r in want))
+    assert lm_corpus.score_corpus(odd.limit(0)).count() == 0
+    held = [i for i in range(100) if fold(i, 5) == 1][:3]
+    alone = lm_corpus.score_corpus(spark.createDataFrame([(i, "a b") for i in held], "doc_id long, text string")).collect()
+    assert [(r["n_known"], r["train_tokens"], r["base_score"], r["score"]) for r in alone] == [(0, 0, 0.0, 0.0)] * 3

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegate.llm import decontam, langid, lm, minhash, periods, prefixes, quality, repeats, toxicity, warc
+from tidegate.llm import decontam, langid, lm_corpus, minhash, periods, prefixes, quality, repeats, toxicity, warc
 from tidegate.llm.bpe import encode_texts
 from tidegate.llm.common import table, work_folder
 from tidegate.llm.counts import count_tokens
@@ -40,8 +40,7 @@ def warc_archive(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def lm_scores(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents")
-    return lm.score_texts(docs, lm.learn(docs))
+    return lm_corpus.score_corpus(table(spark, sf, "documents"))
 
 
 def toxic_passages(spark: SparkSession, sf: str) -> DataFrame:

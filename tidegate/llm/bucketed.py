@@ -31,6 +31,10 @@ class Bucketed:
         """Forget the table and delete its files."""
         self.spark.sql(f"DROP TABLE IF EXISTS {self._prefix}_{name}")
         self._known.remove(name)
+        self.delete(name)
+
+    def delete(self, name: str) -> None:
+        """Delete what is under a name below the folder."""
         path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 

@@ -8,7 +8,9 @@ windows have their anchors at the same offset. Successive windows mostly share o
 anchor. A suffix is ordered by a 64-bit digest of its first HEAD bytes, since all that matters is which suffixes
 agree so far.
 
-**Levels.** Every batch of texts becomes a sorted, bucketed table of (key, owner, place), its suffix array. It is
+**Levels.** Every batch of texts becomes a sorted, bucketed table of (key, owner, place), its suffix array. A task
+that has a key several times gives all its suffixes as matches at once and sends one of them, so a passage that
+fills a third of the texts is a row per task. The array is
 merge-scanned with all levels that exist: they are bucketed and sorted alike, so this moves no rows. Suffixes whose
 key has a neighbour are matches and go on, each once. Levels of the same size are merged into one of twice the size
 before the next batch comes, so n batches leave about log2(n) levels and every suffix is rewritten that often.
@@ -48,6 +50,8 @@ LENGTH, HEAD = 200, 64
 BATCHES = 4
 #: Kinds of segments with one key whose bytes are compared by one task; their windows are rows of their own beyond.
 MOST_KINDS = 4096
+#: Suffixes that a task holds before it sends them; memory only.
+HELD = 1 << 20
 #: Bytes of text per pass, and of a part of a long text; memory only. Places in a part have 20 bits.
 PASS_BYTES = 1 << 20
 PART = 1 << 19
@@ -177,27 +181,53 @@ def _distinct_texts(docs: DataFrame, text_column: str) -> DataFrame:
 
 
 def _suffixes(texts: DataFrame) -> DataFrame:
-    """(key, owner, place) of every anchor of (o1, text)."""
+    """Anchors of (o1, text): one row per key and part of a task to index, with ``given`` 1 if the part has the key
+    several times, and then a row with ``match`` 1 for each of its places."""
+
+    def grouped(keys: list[np.ndarray], owners: list[np.ndarray], places: list[np.ndarray]) -> pa.RecordBatch:
+        key, owner, place = (np.concatenate(x) for x in (keys, owners, places))
+        order = np.argsort(key, kind="stable")
+        key, owner, place = key[order], owner[order], place[order]
+        first = np.concatenate([[True], key[1:] != key[:-1]])
+        several = np.concatenate([~first[1:], [False]]) | ~first
+        at = np.concatenate([np.flatnonzero(first), np.flatnonzero(several)])
+        match = np.repeat(np.array([0, 1]), [first.sum(), several.sum()])
+        given = several[at].astype(np.int64)
+        columns = [_signed(key[at]), _signed(owner[at]), _signed(place[at]), _signed(given), _signed(match)]
+        return pa.RecordBatch.from_arrays(columns, names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys: list[np.ndarray] = []
+        owners: list[np.ndarray] = []
+        places: list[np.ndarray] = []
+        held = 0
         for batch in batched(batches, PASS_BYTES):
-            keys, owners, places = [], [], []
             for owner, text in zip(batch.column(0).to_pylist(), byte_texts(batch.column(1)), strict=True):
                 place, key, _, _ = segments(Strings(np.frombuffer(text, dtype=np.uint8)))
                 keys.append(key)
                 places.append(place)
                 owners.append(np.full(len(place), owner, dtype=np.int64))
-            columns = [_signed(np.concatenate(x)) for x in (keys, owners, places)]
-            yield pa.RecordBatch.from_arrays(columns, ["key", "owner", "place"])
+                held += len(place)
+            if held >= HELD:
+                yield from _sliced(grouped(keys, owners, places))
+                keys, owners, places, held = [], [], [], 0
+        if held:
+            yield from _sliced(grouped(keys, owners, places))
+
+    names = ["key", "owner", "place", "given", "match"]
+    return texts.select("o1", "text").mapInArrow(run, ", ".join(f"{c} long" for c in names))
 
-    return texts.select("o1", "text").mapInArrow(run, "key long, owner long, place long")
+
+def _sliced(batch: pa.RecordBatch, rows: int = 50_000) -> Iterator[pa.RecordBatch]:
+    for start in range(0, batch.num_rows, rows):
+        yield batch.slice(start, rows)
 
 
 class SuffixLevels:
     """Suffix arrays of batches, merged like the digits of a binary counter."""
 
     def __init__(self, tables: Bucketed) -> None:
-        self._tables, self._count = tables, 0
+        self._tables, self._count, self._sent = tables, 0, []
         #: (batches, table name) of each level, oldest first.
         self.levels: list[tuple[int, str]] = []
 
@@ -208,7 +238,7 @@ class SuffixLevels:
             both = self._tables.rows(older).unionByName(self._tables.rows(newer))
             # The rank makes the merge run bucket by bucket; nothing is moved.
             rank = F.row_number().over(Window.partitionBy("key").orderBy("owner", "place"))
-            merged = both.withColumn("rank", rank).where("rank > 0").select("key", "owner", "place")
+            merged = both.withColumn("rank", rank).where("rank > 0").drop("rank")
             name = f"level{self._count}x{2 * size}"
             self._tables.write(merged, name, "key")
             self._tables.drop(newer)
@@ -222,17 +252,25 @@ class SuffixLevels:
         """
         self._merge()
         self._count += 1
-        name = f"batch{self._count}"
-        suffixes = _suffixes(texts).repartition(self._tables.buckets, "key")
-        self._tables.write(suffixes, name, "key")
+        name, folder = f"batch{self._count}", f"{self._tables.folder}/sent{self._count}"
+        self._sent.append(f"sent{self._count}")
+        _suffixes(texts).write.partitionBy("match").parquet(folder)
+        sent = self._tables.spark.read.schema("key long, owner long, place long, given long, match int").parquet(folder)
+        array = sent.where("match = 0").drop("match").repartition(self._tables.buckets, "key")
+        self._tables.write(array, name, "key")
         every = self._tables.rows(name).withColumn("old", F.lit(0))
         for _, level in self.levels:
             every = every.unionByName(self._tables.rows(level).withColumn("old", F.lit(1)))
         self.levels.append((1, name))
         group = Window.partitionBy("key")
         counted = every.select("*", F.count(F.lit(1)).over(group).alias("all"), F.sum("old").over(group).alias("before"))
-        found = counted.where("all > 1 and (old = 0 or (before = 1 and all > before))")
-        return found.select("owner", "place")
+        found = counted.where("given = 0 and all > 1 and (old = 0 or (before = 1 and all > before))")
+        return found.select("owner", "place").unionByName(sent.where("match = 1").select("owner", "place"))
+
+    def forget_sent(self) -> None:
+        """Delete what tasks sent, when the matches of all batches so far have been read."""
+        while self._sent:
+            self._tables.delete(self._sent.pop())
 
 
 def _matched_segments(texts: DataFrame, places: DataFrame) -> DataFrame:
@@ -426,6 +464,7 @@ def find_repeats(docs: DataFrame, text_column: str, folder: str, batches: int =
         for batch in range(batches):
             some = tables.rows("texts").where(F.col("batch") == batch)
             places.append(cut(index.add(some), folder, f"places{batch}"))
+            index.forget_sent()
         every = places[0]
         for more in places[1:]:
             every = every.unionByName(more)

@@ -7,9 +7,11 @@ what was written. Bit sampling then takes a few of the written positions as a bu
 
 Windows are as long as the shortest item of a size class; an item is covered by all its windows, and a
 document by the window at every one of its words. A document window in the bucket of an item's window is a
-candidate, at the place where the item would begin. Walks and samples are repeated until copies of the items
-with as many random edits as the threshold allows are found at the target recall, measured when the tables
-are built. Every candidate is decided by the exact edit distance between the item and the best stretch of
+candidate, at the place where the item would begin. Recall is measured when the tables are built, for each
+length of items by itself, on copies with as many random edits as the threshold allows, and walks are added until
+the worst length reaches the target. A length that does not get there by ``MOST_WALKS`` (short items whose edits
+leave no stretch for a walk) is searched by the pieces of its items as well: of edits + 1 pieces of an item one
+is whole in every match, so nothing of that length is missed. Every candidate is decided by the exact edit distance between the item and the best stretch of
 the document around the place, which also gives the stretch.
 
 Words are runs of letters and digits, A-Z as a-z. A match has at most (1 - similarity) * words edits.
@@ -31,6 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tidegate.llm.common import batched, byte_texts
 from tidegate.llm.words import mix, word_hashes
@@ -39,7 +42,9 @@ MOST_WORDS = 100_000
 PASS_BYTES = 1 << 20
 #: Steps of the walk per size class, sampled positions, samples per walk, and most walks.
 STEPS = (20, 10, 5, 2)
-SAMPLED, SAMPLES, MOST_WALKS = 4, 3, 6
+SAMPLED, SAMPLES, MOST_WALKS = 4, 3, 3
+#: Copies per item length on which recall is measured.
+COPIES = 400
 _FILTER_BITS = 20
 
 
@@ -99,6 +104,9 @@ class Searcher:
         self.names, self.items = [n for n, _ in pairs], [w for _, w in pairs]
         self.most = [int((1 - similarity) * len(w) + 1e-9) for w in self.items]
         self.pick = np.random.default_rng(seed)
+        self.known = np.zeros(1 << _FILTER_BITS, dtype=bool)
+        self.known[(hashes >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)] = True
+        self.known[0] = True  # what stands for words beyond an item's end
         self.classes: dict[int, list[int]] = {}
         for i, words in enumerate(self.items):
             steps = next((s for s in STEPS if s <= 1.4 * len(words)), STEPS[-1] // 2)
@@ -106,23 +114,36 @@ class Searcher:
         self.seeds: list[np.uint64] = []
         self.samples: dict[tuple[int, int], list[list[int]]] = {}  # by walk and steps
         self.tables: dict[tuple[int, int, int], tuple] = {}  # by walk, steps and sample
-        self.measured = 0.0
-        self.known = np.zeros(1 << _FILTER_BITS, dtype=bool)
-        self.known[(hashes >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)] = True
-        self.known[0] = True  # what stands for words beyond an item's end
+        self.pieces: dict[int, tuple] = {}  # by words of a piece
+        #: The share of copies with the most edits that is found, by length of the item.
+        self.measured: dict[int, float] = {}
         copies = self._edited_copies()
-        while len(self.seeds) < MOST_WALKS and self.items:
+        low = sorted({len(w) for w in self.items})
+        while low and len(self.seeds) < MOST_WALKS:
             self._add_walk()
-            found = self._hits([w for _, w in copies])
-            self.measured = sum(i in f for (i, _), f in zip(copies, found, strict=True)) / len(copies)
-            if self.measured >= recall and len(self.seeds) >= 2:
-                break
+            if len(self.seeds) > 1:
+                low = self._measure(copies, recall)
+        self._add_pieces(low)
+        self.measured |= {n: 1.0 for n in low}
+
+    def _measure(self, copies: list[tuple[int, np.ndarray]], recall: float) -> list[int]:
+        """The lengths whose copies are found too seldom."""
+        found, all_of, hits = self._hits([w for _, w in copies]), {}, {}
+        for (i, _), some in zip(copies, found, strict=True):
+            size = len(self.items[i])
+            all_of[size] = all_of.get(size, 0) + 1
+            hits[size] = hits.get(size, 0) + (i in some)
+        self.measured = {n: hits[n] / all_of[n] for n in all_of}
+        return [n for n, share in self.measured.items() if share < recall]
 
     def _edited_copies(self) -> list[tuple[int, np.ndarray]]:
-        """Up to 2,000 copies of items with as many random edits as are allowed."""
+        """COPIES copies for each length, of some of its items, with as many random edits as are allowed."""
+        by_length: dict[int, list[int]] = {}
+        for i, words in enumerate(self.items):
+            by_length.setdefault(len(words), []).append(i)
         copies = []
-        for _ in range(max(1, min(20, 2000 // max(1, len(self.items))))):
-            for i in self.pick.permutation(len(self.items))[:2000].tolist():
+        for members in by_length.values():
+            for i in self.pick.choice(members, COPIES).tolist():
                 words = self.items[i].tolist()
                 for _ in range(self.most[i]):
                     at, kind = int(self.pick.integers(len(words))), int(self.pick.integers(3))
@@ -132,6 +153,31 @@ class Searcher:
                 copies.append((i, np.array(words, dtype=np.uint64)))
         return copies
 
+    def _add_pieces(self, lengths: list[int]) -> None:
+        """For each item of a length the keys of its pieces, one more than it may have edits."""
+        found: dict[int, list[tuple]] = {}
+        for i, words in enumerate(self.items):
+            if len(words) not in lengths:
+                continue
+            size = len(words) // (self.most[i] + 1)
+            for piece in range(self.most[i] + 1):
+                at = piece * size
+                found.setdefault(size, []).append((int(self._grams(words, size, np.array([at]))[0]), i, at))
+        for size, rows in found.items():
+            rows.sort()
+            keys = np.array([r[0] for r in rows], dtype=np.uint64)
+            flags = np.zeros(1 << _FILTER_BITS, dtype=bool)
+            flags[(keys >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)] = True
+            self.pieces[size] = keys, np.array([r[1] for r in rows]), np.array([r[2] for r in rows]), flags
+
+    @staticmethod
+    def _grams(words: np.ndarray, size: int, starts: np.ndarray) -> np.ndarray:
+        """The keys of the runs of ``size`` words at some places."""
+        key = np.full(len(starts), size, dtype=np.uint64)
+        for i in range(size):
+            key = mix(key * np.uint64(0x9E3779B97F4A7C15) + words[starts + i])
+        return key
+
     def _add_walk(self) -> None:
         walk = len(self.seeds)
         self.seeds.append(np.uint64(self.pick.integers(1, 1 << 63)))
@@ -199,13 +245,26 @@ class Searcher:
                     maybe = np.flatnonzero(maybe)
                     keys = self._keys(padded, [places[step][maybe] for step in sample])
                     hit = flags.take((keys >> np.uint64(64 - _FILTER_BITS)).astype(np.int64))
-                    maybe, keys = maybe[hit], keys[hit]
-                    low = np.searchsorted(table, keys, "left")
-                    count = np.searchsorted(table, keys, "right") - low
-                    which = np.repeat(low, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-                    found.append(np.stack([np.repeat(maybe, count) - offset[which], owner[which]], axis=1))
+                    found.append(self._begins(maybe[hit], keys[hit], table, owner, offset))
+        for size, (table, owner, offset, flags) in self.pieces.items():
+            count = max(0, len(words) - size + 1)
+            maybe = np.ones(count, dtype=bool)
+            for i in range(size):
+                maybe &= known[i : i + count]
+            maybe = np.flatnonzero(maybe)
+            keys = self._grams(words, size, maybe)
+            hit = flags.take((keys >> np.uint64(64 - _FILTER_BITS)).astype(np.int64))
+            found.append(self._begins(maybe[hit], keys[hit], table, owner, offset))
         return np.unique(np.concatenate(found), axis=0)
 
+    @staticmethod
+    def _begins(places: np.ndarray, keys: np.ndarray, table: np.ndarray, owner: np.ndarray, offset: np.ndarray) -> np.ndarray:
+        """(begin of the item, item) for every entry of the table with one of the keys."""
+        low = np.searchsorted(table, keys, "left")
+        count = np.searchsorted(table, keys, "right") - low
+        which = np.repeat(low, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        return np.stack([np.repeat(places, count) - offset[which], owner[which]], axis=1)
+
     def _hits(self, texts: list[np.ndarray]) -> list[set[int]]:
         """The items that are candidates in each text."""
         edges = np.cumsum([0, *[len(t) for t in texts]])
@@ -217,7 +276,7 @@ class Searcher:
         return hits
 
     def search(self, texts: list[bytes]) -> list[list[tuple]]:
-        """For each text its matches (item name, edits, first word, end word), without overlaps per item."""
+        """For each text its matches, without overlaps per item: item name, edits, first word, end word, similarity, measured recall."""
         words, at = word_hashes(texts, plain=True)
         rows = self._candidates(words)
         out: list[list[tuple]] = [[] for _ in texts]
@@ -236,7 +295,8 @@ class Searcher:
                 edits, start, end = match
                 taken[text, item] = low + end
                 first = low + start - int(at[text])
-                out[text].append((self.names[item], edits, first, first + end - start, 1 - edits / length))
+                share = 1 - edits / length
+                out[text].append((self.names[item], edits, first, first + end - start, share, self.measured[length]))
         return out
 
 
@@ -253,11 +313,12 @@ def searchers(benchmark: DataFrame, similarity: float, recall: float, id_column:
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, recall: float = 0.99, id_column: str = "doc_id", text_column: str = "text", item_column: str = "item_id") -> DataFrame:
-    """One row per occurrence of an item in a document: ids, edits, similarity, first_word, end_word."""
+    """One row per occurrence of an item in a document: ids, edits, similarity, first_word, end_word, and recall, the share of most edited copies of items of that length that the search found when it was built."""
     kind = docs.schema[id_column].dataType.simpleString()
     item_kind = benchmark.schema[item_column].dataType.simpleString()
+    item_type = to_arrow_type(benchmark.schema[item_column].dataType)
     rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
-    schema = f"id {kind}, item {item_kind}, edits int, first_word int, end_word int, similarity double"
+    schema = f"id {kind}, item {item_kind}, edits int, first_word int, end_word int, similarity double, recall double"
     found = None
     for searcher in searchers(benchmark, similarity, recall, item_column, "text"):
 
@@ -266,17 +327,16 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, r
                 matches = searcher.search(byte_texts(batch.column(1)))
                 at = pa.array([i for i, m in enumerate(matches) for _ in m], pa.int64())
                 flat = [x for m in matches for x in m]
-                kinds = [None, pa.int32(), pa.int32(), pa.int32(), pa.float64()]
-                columns = [pa.array([x[i] for x in flat], k) for i, k in enumerate(kinds) if i]
-                names = ["id", "item", "edits", "first_word", "end_word", "similarity"]
-                item = pa.array([x[0] for x in flat], pa.int64() if item_kind == "bigint" else None)
+                kinds = [item_type, pa.int32(), pa.int32(), pa.int32(), pa.float64(), pa.float64()]
+                columns = [pa.array([x[i] for x in flat], k) for i, k in enumerate(kinds)]
+                names = ["id", "item", "edits", "first_word", "end_word", "similarity", "recall"]
                 if flat:
-                    yield pa.RecordBatch.from_arrays([batch.column(0).take(at), item, *columns], names)
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(at), *columns], names)
 
         part = rows.mapInArrow(run, schema)
         found = part if found is None else found.unionByName(part)
     return found.select(
-        F.col("id").alias(id_column), F.col("item").alias(item_column), "edits", "similarity", "first_word", "end_word"
+        F.col("id").alias(id_column), F.col("item").alias(item_column), "edits", "similarity", "first_word", "end_word", "recall"
     )
 
 

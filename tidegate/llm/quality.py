@@ -6,6 +6,12 @@ is rejected when its character classes, or its common words, are farther from th
 threshold, as Jensen-Shannon distance (the square root of the divergence in bits, 0 to 1). Texts too short
 for a histogram to mean much are not judged by it: the guards are a number of words and of characters.
 
+How far common words may be depends on the language and on the length: the fewer words, the more their shares
+scatter. For each language and length band the threshold is a high quantile of the distances of all its own
+documents, from counts per thousandth of distance, but always below ``most_of_none`` of the distance that a text
+without any common word has; so such a text is rejected whatever share of a language its common words are. A text
+whose lang has no reference is not judged by words.
+
 Common words are those with at least ``word_share`` of a language's words, counted over all documents. A
 word that common in a language is nearly as common in some batch of it, so batches name candidates in a
 first pass, and a second counts the candidates exactly: what is gathered is bounded by the share, not by the
@@ -14,15 +20,16 @@ number.
 
 Results for special inputs: null and empty texts have no words, count 0 everywhere and fail the base rule;
 rows without lang count for no reference but are judged like others; without any reference only the base
-rule decides; texts of any length count whole; repeated rows give repeated rows; an empty table gives an
+rule decides; of equally near languages the first by name is taken; texts of any length count whole; repeated rows give repeated rows; an empty table gives an
 empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +41,10 @@ from tidegate.llm.words import mix, word_hashes
 
 PASS_BYTES = 1 << 20
 SYMBOLS = b"#*$%&|<>"
+#: Words at which length bands begin; shorter texts are in the first.
+BANDS = (50, 100, 200, 400, 800, 1600)
+#: Steps of distance that thresholds are counted in.
+STEPS = 1000
 #: Character classes of bytes; continuation bytes of UTF-8 count for none.
 CLASSES = ("lower", "upper", "digit", "space", "line", "stop", "symbol", "other", "control", "wide")
 
@@ -119,6 +130,7 @@ class References:
     number: dict[bytes, int]  # common word of any language -> column
     columns: np.ndarray  # languages x most words of a language; len(number): unused
     shares: np.ndarray  # languages x (most words + 1)
+    limits: np.ndarray | None = None  # languages x BANDS: largest distance of common words
 
     def distances(self, text: bytes) -> tuple[str | None, float, float]:
         """Nearest language, distance of its words, distance of its character classes."""
@@ -134,8 +146,25 @@ class References:
         counts = class_counts(text)
         return self.languages[best], float(apart[best]), float(distance(counts / counts.sum(), self.classes[best]))
 
+    def limit(self, language: str | None, words: int) -> float:
+        """The largest distance of common words that a text of so many words may have."""
+        if language is None or self.limits is None:
+            return 1.0
+        return float(self.limits[self.languages.index(language), band(words)])
+
+    def without(self) -> np.ndarray:
+        """Per language the distance of a text that has none of its common words."""
+        none = np.zeros_like(self.shares)
+        none[:, -1] = 1
+        return distance(none, self.shares)
+
+
+def band(words: int) -> int:
+    """The length band of a text."""
+    return bisect_right(BANDS, words) - 1 if words >= BANDS[0] else 0
+
 
-def learn(docs: DataFrame, word_share: float = 0.002, language_share: float = 0.001, text_column: str = "text", lang_column: str = "lang") -> References:
+def learn(docs: DataFrame, word_share: float = 0.002, language_share: float = 0.001, text_column: str = "text", lang_column: str = "lang", quantile: float = 0.999, most_of_none: float = 0.985) -> References:
     """References from all rows with a lang and a text."""
     folder = work_folder(docs.sparkSession)
     rows = docs.select(F.col(lang_column).cast("string").alias("lang"), F.col(text_column).alias("text"))
@@ -205,7 +234,40 @@ def learn(docs: DataFrame, word_share: float = 0.002, language_share: float = 0.
     for r in classes:
         by_class[languages.index(r["lang"]), int(r["word"])] = r["n"]
     by_class /= np.maximum(1, by_class.sum(axis=1, keepdims=True))
-    return References(languages, by_class, number, columns, shares)
+    return _with_limits(rows, References(languages, by_class, number, columns, shares), quantile, most_of_none)
+
+
+def _with_limits(rows: DataFrame, references: References, quantile: float, most_of_none: float) -> References:
+    """Thresholds from the distances of all documents of a language, counted per language, band and step."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batched(batches, PASS_BYTES):
+            found: Counter = Counter()
+            for lang, text in zip(batch.column(0).to_pylist(), byte_texts(batch.column(1)), strict=True):
+                if lang in known and (words := len(text.split())) >= BANDS[0]:
+                    nearest, apart, _ = references.distances(text)
+                    if nearest == lang:
+                        found[lang, band(words), int(apart * STEPS)] += 1
+            keys = list(found)
+            columns = [pa.array([k[i] for k in keys], kind) for i, kind in enumerate([pa.string(), pa.int32(), pa.int32()])]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(list(found.values()), pa.int64())], names)
+
+    known, names = set(references.languages), ["lang", "band", "step", "n"]
+    limits = np.repeat(most_of_none * references.without()[:, None], len(BANDS), axis=1)
+    # At most STEPS rows per band and language.
+    counted = rows.mapInArrow(count, "lang string, band int, step int, n long").groupBy("lang", "band", "step")
+    sums: dict[tuple[str, int], list[tuple[int, int]]] = {}
+    for r in counted.agg(F.sum("n").alias("n")).collect():
+        sums.setdefault((r["lang"], r["band"]), []).append((r["step"], r["n"]))
+    for (lang, number), steps in sums.items():
+        total, below = sum(n for _, n in steps), 0
+        for step, n in sorted(steps):
+            below += n
+            if below >= quantile * total:
+                at = references.languages.index(lang), number
+                limits[at] = min(limits[at], (step + 1) / STEPS)
+                break
+    return replace(references, limits=limits)
 
 
 def _rows(rows: list[tuple]) -> pa.RecordBatch:
@@ -217,14 +279,14 @@ def _rows(rows: list[tuple]) -> pa.RecordBatch:
 def judge(
     docs: DataFrame,
     references: References,
-    most_word_distance: float = 0.45,
     most_class_distance: float = 0.30,
     least_words: int = 50,
     least_chars: int = 200,
     id_column: str = "doc_id",
     text_column: str = "text",
+    lang_column: str = "lang",
 ) -> DataFrame:
-    """id, the base counts, base_failed, kept, nearest language and both distances of every text."""
+    """id, the base counts, base_failed, kept, nearest language, both distances and the limit of words of every text."""
     kind = docs.schema[id_column].dataType.simpleString()
     counted = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
@@ -233,14 +295,23 @@ def judge(
             texts = byte_texts(batch.column(1))
             base = base_counts(texts)
             nearest = [references.distances(t) for t in texts]
+            langs = batch.column(2).to_pylist()
+            limits = [
+                references.limit(near[0] if lang is None or lang in known else None, words)
+                for near, lang, words in zip(nearest, langs, base["n_words"], strict=True)
+            ]
             columns = [batch.column(0), *[pa.array(base[c], pa.int64()) for c in counted]]
             columns += [pa.array([x[i] for x in nearest], k) for i, k in enumerate([pa.string(), pa.float64(), pa.float64()])]
-            yield pa.RecordBatch.from_arrays(columns, ["id", *counted, "nearest", "word_distance", "class_distance"])
+            columns.append(pa.array(limits, pa.float64()))
+            names = ["id", *counted, "nearest", "word_distance", "class_distance", "word_limit"]
+            yield pa.RecordBatch.from_arrays(columns, names)
 
-    rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
+    known = set(references.languages)
+    lang = F.col(lang_column).cast("string") if lang_column in docs.columns else F.lit(None).cast("string")
+    rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"), lang.alias("lang"))
     longs = ", ".join(f"{c} long" for c in counted)
-    out = rows.mapInArrow(run, f"id {kind}, {longs}, nearest string, word_distance double, class_distance double")
+    out = rows.mapInArrow(run, f"id {kind}, {longs}, nearest string, word_distance double, class_distance double, word_limit double")
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    far_words = (F.col("n_words") >= least_words) & (F.col("word_distance") > most_word_distance)
+    far_words = (F.col("n_words") >= least_words) & (F.col("word_distance") > F.col("word_limit"))
     far_classes = (F.col("word_chars") >= least_chars) & (F.col("class_distance") > most_class_distance)
     return out.withColumns({"base_failed": failed, "kept": ~failed & ~far_words & ~far_classes}).withColumnRenamed("id", id_column)

@@ -98,3 +98,22 @@ def test_odd_rows(spark):
     none = odd.limit(0)
     assert bpe.encode_texts(none, RANKS, public_tokenizers.PATTERN).count() == 0
     assert counts.count_tokens(none, PIECES, 1).count() == 0
+
+
+def test_long_pre_tokens_and_texts_keep_memory_bounded(monkeypatch):
+    """Long pre-tokens are not remembered, calls are bounded by length, and long texts are cut in parts."""
+    coder = bpe.ByteBpe(RANKS, public_tokenizers.PATTERN)
+    other = reference_encoding(coder.ranks)
+    pick = random.Random(2)
+    runs = ["".join(pick.choices("abcdefgh", k=pick.choice([150, 201, 5000]))) for _ in range(40)]
+    text = " ".join(runs + runs[:10])
+    assert np.frombuffer(coder.encode(text), "<u4").tolist() == other.encode_ordinary(text)
+    assert all(len(token) <= bpe.REMEMBERED_LENGTH for token in coder.known)
+    assert coder.held < 100_000
+    monkeypatch.setattr(bpe, "LONG_TEXT", 1000)
+    monkeypatch.setattr(bpe, "PART", 70)
+    monkeypatch.setattr(bpe, "REMEMBERED", 3000)
+    for long in (text, "naïve words, 漢字 and 12345 more\n" * 300):
+        coded = coder.encode(long)
+        assert np.frombuffer(coded, "<u4").tolist() == other.encode_ordinary(long)
+        assert coder.decode(coded) == long.encode()

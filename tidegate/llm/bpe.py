@@ -29,11 +29,16 @@ from pyspark.sql import functions as F
 
 from tidegate.llm.common import batched, byte_texts
 
-#: Pre-tokens whose ids a worker remembers; memory only, results do not depend on it.
-REMEMBERED = 400_000
+#: Bytes of pre-tokens and their ids that a worker remembers, about, and the longest ones that it does; memory only,
+#: results do not depend on it.
+REMEMBERED, REMEMBERED_LENGTH = 100 << 20, 200
+#: Bytes that a remembered pre-token takes besides its own.
+_ENTRY = 200
 PASS_BYTES = 4 << 20
-#: Pre-tokens per call of sentencepiece.
-PER_CALL = 500
+#: Pre-tokens, and characters of them, per call of sentencepiece; a longer pre-token is a call by itself.
+PER_CALL, CALL_LENGTH = 500, 50_000
+#: Longer texts are cut into pre-tokens by parts, of so many at once.
+LONG_TEXT, PART = 4 << 20, 200_000
 #: Below this code point the two regular expression engines can be made to agree.
 _PLAIN_END = 0x250
 _APART = "\x00"
@@ -122,47 +127,81 @@ class ByteBpe:
         self.ranks = {token: rank for rank, token in enumerate(self.tokens)}
         self.pieces = sentencepiece.SentencePieceProcessor(model_proto=serialise_model(self.tokens))
         self.apart = self.pieces.unk_id()
-        self.find_any = regex.compile(pattern).findall
-        self.find_plain = re.compile(plain_pattern(pattern)).findall
+        self.any, self.plain = regex.compile(pattern), re.compile(plain_pattern(pattern))
         self.beyond = re.compile(f"[^\\x00-\\u{_PLAIN_END - 1:04x}]").search
         self.inverse = [
             self.pieces.id_to_piece(i).translate(_TO_BYTE).encode("latin-1") for i in range(len(self.tokens))
         ]
         self.known: dict[str, bytes] = {}
+        self.held = 0
 
     def pre_tokens(self, text: str) -> list[str]:
-        return self.find_any(text) if self.beyond(text) else self.find_plain(text)
+        return (self.any if self.beyond(text) else self.plain).findall(text)
+
+    def parts(self, text: str) -> Iterator[list[str]]:
+        """The pre-tokens of a text, not too many at once."""
+        if len(text) <= LONG_TEXT:
+            yield self.pre_tokens(text)
+            return
+        found = (self.any if self.beyond(text) else self.plain).finditer(text)
+        while part := [m.group() for m in itertools.islice(found, PART)]:
+            yield part
 
     def encode(self, text: str) -> bytes:
         """The ids of a text as little-endian unsigned 32-bit integers."""
-        found = self.pre_tokens(text)
+        return b"".join(map(self._encode, self.parts(text)))
+
+    def _encode(self, found: list[str]) -> bytes:
+        new = set(found).difference(self.known)
+        if new and self.held > REMEMBERED:
+            self.known, self.held = {}, 0
+            new = set(found)
+        long = self._learn(list(new)) if new else None
         known = self.known
-        new = list(set(found).difference(known))
-        if new:
-            if len(known) + len(new) > REMEMBERED:
-                known = self.known = {}
-                new = list(set(found))
-            self._learn(new)
+        if long:
+            return b"".join([long[t] if t in long else known[t] for t in found])
         return b"".join(map(known.__getitem__, found))
 
-    def _learn(self, pre_tokens: list[str]) -> None:
-        """Encode pre-tokens, many in one call: a character outside the vocabulary keeps them apart."""
-        merged, mapped = [], []
-        for token in pre_tokens:
-            raw = token.encode()
-            rank = self.ranks.get(raw)
-            if rank is None:
-                merged.append(token)
-                mapped.append(raw.decode("latin-1").translate(_TO_CHAR))
-            else:  # a pre-token that is itself in the vocabulary is that token
-                self.known[token] = rank.to_bytes(4, "little")
-        for start in range(0, len(merged), PER_CALL):
-            ids = np.array(self.pieces.encode(_APART.join(mapped[start : start + PER_CALL])), dtype="<u4")
+    def _learn(self, pre_tokens: list[str]) -> dict[str, bytes]:
+        """Encode pre-tokens, many in one call: a character outside the vocabulary keeps them apart.
+
+        Long ones are returned, the others remembered.
+        """
+        merged, mapped, long = [], [], {}
+
+        def keep(token: str, ids: bytes) -> None:
+            if len(token) > REMEMBERED_LENGTH:
+                long[token] = ids
+            else:
+                self.known[token] = ids
+                self.held += _ENTRY + len(token) + len(ids)
+
+        def call() -> None:
+            ids = np.array(self.pieces.encode(_APART.join(mapped)), dtype="<u4")
             ends = np.flatnonzero(ids == self.apart).tolist()
             coded, at = ids.tobytes(), 0
-            for token, end in zip(merged[start : start + PER_CALL], [*ends, len(ids)], strict=True):
-                self.known[token] = coded[4 * at : 4 * end]
+            for token, end in zip(merged, [*ends, len(ids)], strict=True):
+                keep(token, coded[4 * at : 4 * end])
                 at = end + 1
+            merged.clear()
+            mapped.clear()
+
+        size = 0
+        for token in pre_tokens:
+            raw = token.encode()
+            rank = self.ranks.get(raw)
+            if rank is not None:  # a pre-token that is itself in the vocabulary is that token
+                keep(token, rank.to_bytes(4, "little"))
+                continue
+            if merged and (len(merged) == PER_CALL or size + len(raw) > CALL_LENGTH):
+                call()
+                size = 0
+            merged.append(token)
+            mapped.append(raw.decode("latin-1").translate(_TO_CHAR))
+            size += len(raw)
+        if merged:
+            call()
+        return long
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.inverse.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))

@@ -187,3 +187,31 @@ def test_clustered_ids_are_cut_too(spark):
     sizes = Counter(r["shard"] for r in placed)
     assert set(sizes) == set(range(ranges.shards)) and max(sizes.values()) <= 20 and ranges.shards <= 30
     assert [r["shard"] for r in sorted(placed, key=lambda r: r["page_id"])] == sorted(r["shard"] for r in placed)
+
+
+def _shards(spark, tmp_path, rows, shard_bytes):
+    folder = f"file://{tmp_path}/archive"
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    manifest = warc.write_archives(pages, folder, shard_bytes=shard_bytes, roll_bytes=1 << 20).collect()
+    back = warc.read_archives(spark, folder).collect()
+    assert len(back) == len(rows) == sum(r["records"] for r in manifest)
+    return manifest, back
+
+
+def test_headers_count_when_shards_are_cut(spark, tmp_path):
+    manifest, _ = _shards(spark, tmp_path, [(i, f"http://a/{i}", None) for i in range(5000)], 100_000)
+    assert len(manifest) >= 30 and max(r["records"] for r in manifest) <= 200
+
+
+def test_pages_without_id_are_cut_though_they_are_equal(spark, tmp_path):
+    rows = [(None, "http://a/", "same")] * 2000 + [(None, "http://b/", "same")] * 300 + [(i, "u", "x") for i in range(20)]
+    manifest, back = _shards(spark, tmp_path, rows, 100_000)
+    assert max(r["records"] for r in manifest) <= 300 and len(manifest) >= 15
+    assert {r["record_type"] for r in back if r["page_id"] is None} == {"response"}
+    uris = set()
+    for file in (tmp_path / "archive" / "records").glob("*.warc.gz"):
+        with file.open("rb") as stream:
+            for member in warc.members(stream):
+                headers, _ = warc.parse(member)
+                assert headers["warc-record-id"] not in uris
+                uris.add(headers["warc-record-id"])

@@ -6,6 +6,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidegate.llm.common import remove
+
 
 class Bucketed:
     """Tables below a folder, bucketed and sorted by one column; they are known to the session until dropped."""
@@ -35,8 +37,7 @@ class Bucketed:
 
     def delete(self, name: str) -> None:
         """Delete what is under a name below the folder."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        remove(self.spark, self.folder, name)
 
     def drop_all(self) -> None:
         for name in list(self._known):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -32,16 +33,13 @@ def byte_texts(column: pa.Array) -> list[bytes]:
 def work_folder(spark: SparkSession) -> str:
     """A new folder below spark.checkpoint.dir, for data that later steps read again.
 
-    Where the setting is absent (tests on one machine), a temporary folder becomes the checkpoint folder.
+    Where the setting is absent, a master of one process (tests on one machine) uses a temporary folder.
     """
-    context = spark.sparkContext
-    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^,\]]*(,\d+)?\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="tidegate-")
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(base)
     return f"{base.rstrip('/')}/llm-{uuid.uuid4().hex}"
 
 
@@ -51,6 +49,13 @@ def cut(rows: DataFrame, folder: str, name: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(f"{folder}/{name}")
 
 
+def remove(spark: SparkSession, folder: str, *names: str) -> None:
+    """Delete written intermediates that no later step reads."""
+    for name in names:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}")
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def hash_sample(rows: DataFrame, by: str, id_column: str, per_value: int, seed: int, most_values: int = 1000) -> DataFrame:
     """A sample of about per_value rows for each value of a column, chosen by a hash of the id.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.llm.common import cut
+from tidegate.llm.common import cut, remove
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -35,5 +35,7 @@ def components(edges: DataFrame, folder: str, name: str) -> DataFrame:
         least = cut(large.groupBy("a").agg(F.min("b").alias("m")), folder, f"{name}-{turn}-least-small")
         moved = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         edges = cut(moved.unionByName(least.withColumnRenamed("m", "b")).distinct(), folder, f"{name}-{turn}")
+        remove(edges.sparkSession, folder, *[f"{name}-{turn}-{part}" for part in ("least-large", "large", "least-small")])
+        remove(edges.sparkSession, folder, f"{name}-{turn - 1}")
     roots = edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.llm.common import batched, byte_texts, cut, work_folder
+from tidegate.llm.common import batched, byte_texts, cut, remove, work_folder
 from tidegate.llm.components import components
 from tidegate.llm.words import shingles, word_hashes
 
@@ -234,7 +234,9 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_column
     named = classes.join(linked, "node", "left").select("class", F.coalesce("component", "node").alias("component"))
     found = usable.select("id", "n", "class").join(named, "class").select("id", "n", "component")
     alone = signed.where(F.col("class").isNull() | F.col("id").isNull()).select("id", "n", F.col("id").alias("component"))
-    return found.unionByName(alone).select(
+    found = cut(found.unionByName(alone), folder, "found")
+    remove(docs.sparkSession, folder, "signatures", "classes", "nodes", "buckets", "blocks", "links")
+    return found.select(
         F.col("id").alias(id_column),
         F.col("n").alias("n_shingles"),
         F.col("component").alias("component_id"),

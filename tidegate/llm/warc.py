@@ -1,6 +1,6 @@
 """Web archives from page rows, written as deterministic shards, and read back.
 
-Pages are cut into ranges of page_id of about equal payload bytes. The cuts come from a histogram of the
+Pages are cut into ranges of page_id of about equal bytes, headers included. The cuts come from a histogram of the
 ids, refined where a bin is too large, so the same pages give the same shards on any cluster. Each range
 is sorted and written by one task as gzip members, one per record; a file is closed when its compressed
 size passes the limit. Files are written under a temporary name of the task attempt and then renamed, so an
@@ -12,8 +12,9 @@ payload (response), the others name it (revisit). Every header is made anew: rec
 digest, SHA-1 digests of block and payload in base 32, lengths, dates.
 
 Results for special inputs: a null html is an empty payload; a null url becomes ``urn:page:<id>``; rows
-with a null page_id are always responses and are spread over the shards; repeated rows (equal page_id and
-payload) are as many records of the same type; texts of any length are one record; an empty table gives an
+with a null page_id are always responses and have shards of their own, over which they are spread with the number of
+each copy, so that equal ones part, too; repeated rows (equal page_id and
+payload) are as many records of the same type, in one shard; texts of any length are one record; an empty table gives an
 archive without files; other columns are ignored.
 """
 
@@ -34,8 +35,12 @@ import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidegate.operators.positions import dense_positions
+
 #: Least and most bins of the first histogram of page ids, collected at the driver.
 BINS, MOST_BINS = 4096, 1 << 20
+#: Bytes that the headers of a record count for when shards are cut.
+HEADER_BYTES = 700
 MANIFEST = "shard int, number int, name string, records long, bytes long, sha256 string"
 RECORDS = "page_id long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long"
 _SPACE = re.compile(r"[\x00-\x20\x7f]")
@@ -47,7 +52,7 @@ def base32_sha1(data: bytes) -> str:
     return base64.b32encode(hashlib.sha1(data).digest()).decode()
 
 
-def record_uri(page_id: int | None, digest: str, copy: int) -> str:
+def record_uri(page_id: int | str | None, digest: str, copy: int) -> str:
     return f"<urn:uuid:{uuid.uuid5(_NAMESPACE, f'{page_id}:{digest}:{copy}')}>"
 
 
@@ -72,7 +77,8 @@ def page_record(page_id: int | None, url: str | None, payload: bytes, digest: st
     if refers_to is None:
         block += payload
     kind = "response" if refers_to is None else "revisit"
-    headers = _headers(kind, record_uri(page_id, digest, copy), date, block)
+    # Pages without id are told apart by their addresses.
+    headers = _headers(kind, record_uri(f"None {url}" if page_id is None else page_id, digest, copy), date, block)
     headers += [
         ("WARC-Target-URI", target),
         ("WARC-Payload-Digest", f"sha1:{digest}"),
@@ -147,22 +153,23 @@ def _bin(low: int, width: int) -> Column:
 
 
 def shard_ranges(facts: DataFrame, shard_bytes: int) -> Ranges:
-    """Ranges of page_id of about ``shard_bytes`` payload bytes, from histograms of all ids.
+    """Ranges of page_id of about ``shard_bytes`` bytes, from histograms of all ids.
 
     The first histogram has several bins per shard, a million at most; bins that hold more than a shard are
     cut into 64 again and again, all of one width in one job, so that clustered ids are cut as well. What
     comes to the driver is a number per bin.
     """
     spark = facts.sparkSession
-    known = facts.where(F.col("page_id").isNotNull())
-    span = known.agg(F.min("page_id").alias("low"), F.max("page_id").alias("high"), F.sum("bytes").alias("bytes")).first()
+    size = F.col("size") if "size" in facts.columns else F.col("bytes")
+    known = facts.where(F.col("page_id").isNotNull()).withColumn("size", size)
+    span = known.agg(F.min("page_id").alias("low"), F.max("page_id").alias("high"), F.sum("size").alias("bytes")).first()
     if span["low"] is None:
         return Ranges(0, 1, [], 1)
     low, wanted = span["low"], min(MOST_BINS, max(BINS, 8 * span["bytes"] // shard_bytes))
     width = first_width = 1 << max(0, -(-(span["high"] - low + 1) // wanted) - 1).bit_length()
     rows, pieces, occupied = known, [], []
     while True:
-        sums = rows.groupBy(_bin(low, width).alias("bin")).agg(F.sum("bytes").alias("bytes")).collect()
+        sums = rows.groupBy(_bin(low, width).alias("bin")).agg(F.sum("size").alias("bytes")).collect()
         occupied = occupied or sorted(r["bin"] for r in sums)
         large = [r["bin"] for r in sums if r["bytes"] > shard_bytes and width > 1]
         kept = set(large)
@@ -186,13 +193,14 @@ def shard_ranges(facts: DataFrame, shard_bytes: int) -> Ranges:
     return Ranges(low, first_width, bins, len(cuts) + 1)
 
 
-def _with_shard(records: DataFrame, ranges: Ranges) -> DataFrame:
-    """Add the shard of each record; records without page id are spread."""
+def _with_shard(records: DataFrame, ranges: Ranges, nameless: int = 1) -> DataFrame:
+    """Add the shard of each record; records without page id are spread over ``nameless`` further shards."""
     bins = records.sparkSession.createDataFrame(ranges.bins, "bin long, first int, cuts array<long>")
     # At most MOST_BINS rows.
     placed = records.withColumn("bin", _bin(ranges.low, ranges.width)).join(F.broadcast(bins), "bin", "left")
     further = F.size(F.filter("cuts", lambda cut: cut <= F.col("page_id")))
-    spread = F.pmod(F.xxhash64("url", "digest"), F.lit(ranges.shards)).cast("int")
+    told = [c for c in ("url", "digest", "copy") if c in records.columns]
+    spread = (ranges.shards + F.pmod(F.xxhash64(*told), F.lit(max(1, nameless)))).cast("int")
     return placed.withColumn("shard", F.when(F.col("page_id").isNull(), spread).otherwise(F.col("first") + further))
 
 
@@ -202,7 +210,10 @@ def write_archives(pages: DataFrame, folder: str, shard_bytes: int = 256 << 20,
     html = F.coalesce(F.col("html"), F.lit(""))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), html.alias("html"))
     rows = rows.withColumn("digest", F.sha1("html"))
-    facts = rows.select("page_id", "digest", F.octet_length("html").cast("long").alias("bytes"))
+    size = F.octet_length("html") + F.coalesce(F.octet_length("url"), F.lit(0)) + HEADER_BYTES
+    facts = rows.select(
+        "page_id", "digest", F.octet_length("html").cast("long").alias("bytes"), size.cast("long").alias("size")
+    )
     facts.write.parquet(f"{folder}/facts")
     facts = spark.read.schema(facts.schema).parquet(f"{folder}/facts")
 
@@ -217,12 +228,21 @@ def write_archives(pages: DataFrame, folder: str, shard_bytes: int = 256 << 20,
     revisits = facts.join(keepers, ["digest", "bytes"]).where("page_id < keeper")
     none = F.lit(None).cast("string")
     marks = revisits.select("page_id", none.alias("url"), none.alias("html"), "digest", F.col("keeper").alias("refers_to"))
-    records = rows.select("page_id", "url", "html", "digest", F.lit(None).cast("long").alias("refers_to")).unionByName(marks)
+    number = F.lit(None).cast("long")
+    records = rows.withColumns({"refers_to": number, "copy": number}).where(F.col("page_id").isNotNull())
+    records = records.unionByName(marks.withColumn("copy", number))
+    # Copies of pages without id are numbered, so that a large group of them is not one shard.
+    unnamed = rows.where(F.col("page_id").isNull()).withColumns({"refers_to": number, "row": F.monotonically_increasing_id()})
+    part = F.shiftright("row", 12)
+    unnamed = dense_positions(unnamed, ["digest", "url"], ["row"], part, "copy").withColumn("copy", F.col("copy") - 1)
+    records = records.unionByName(unnamed.drop("row"))
+    without = facts.where(F.col("page_id").isNull()).agg(F.sum("size")).first()[0] or 0
+    nameless = -(-without // shard_bytes)
     dealt = (
-        _with_shard(records, ranges)
-        .repartitionById(ranges.shards, F.col("shard"))
-        .sortWithinPartitions("page_id", F.col("refers_to").isNull(), "digest", "url")
-        .select("shard", "page_id", "url", F.col("html").cast("binary").alias("html"), "digest", "refers_to")
+        _with_shard(records, ranges, nameless)
+        .repartitionById(ranges.shards + nameless, F.col("shard"))
+        .sortWithinPartitions("page_id", F.col("refers_to").isNull(), "digest", "url", "copy")
+        .select("shard", "page_id", "url", F.col("html").cast("binary").alias("html"), "digest", "refers_to", "copy")
     )
     target = f"{folder}/records"
 
@@ -233,7 +253,7 @@ def write_archives(pages: DataFrame, folder: str, shard_bytes: int = 256 << 20,
         page, refers, copies = None, {}, {}
         for batch in batches:
             for row in range(batch.num_rows):
-                shard, page_id, url, payload, digest, refers_to = (c[row].as_py() for c in batch.columns)
+                shard, page_id, url, payload, digest, refers_to, numbered = (c[row].as_py() for c in batch.columns)
                 if files is None or files.shard != shard:
                     if files:
                         files.close()
@@ -246,6 +266,7 @@ def write_archives(pages: DataFrame, folder: str, shard_bytes: int = 256 << 20,
                     continue
                 spelled = base64.b32encode(bytes.fromhex(digest)).decode()
                 copy = copies[digest] = copies.get(digest, -1) + 1
+                copy = copy if numbered is None else numbered
                 files.add(page_record(page_id, url, payload, spelled, refers.get(digest), copy, date))
         if files:
             files.close()

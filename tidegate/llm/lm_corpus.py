@@ -38,7 +38,7 @@ from tidegate.llm.common import batched, byte_texts, cut, in_fold, work_folder
 from tidegate.llm.words import mix, word_hashes
 
 #: Bytes of text in a chunk, which one task holds as keys; a longer text is a chunk by itself.
-CHUNK_BYTES = 15 << 20
+CHUNK_BYTES = 10 << 20
 #: Keys of one range, about, which one task merges in memory.
 RANGE_KEYS = 8 << 20
 PASS_BYTES = 2 << 20

@@ -128,11 +128,13 @@ class Searcher:
 
     def _measure(self, copies: list[tuple[int, np.ndarray]], recall: float) -> list[int]:
         """The lengths whose copies are found too seldom."""
-        found, all_of, hits = self._hits([w for _, w in copies]), {}, {}
-        for (i, _), some in zip(copies, found, strict=True):
-            size = len(self.items[i])
-            all_of[size] = all_of.get(size, 0) + 1
-            hits[size] = hits.get(size, 0) + (i in some)
+        all_of, hits = {}, {}
+        for start in range(0, len(copies), 1000):  # at the driver, so not too many at once
+            part = copies[start : start + 1000]
+            for (i, _), some in zip(part, self._hits([w for _, w in part]), strict=True):
+                size = len(self.items[i])
+                all_of[size] = all_of.get(size, 0) + 1
+                hits[size] = hits.get(size, 0) + (i in some)
         self.measured = {n: hits[n] / all_of[n] for n in all_of}
         return [n for n, share in self.measured.items() if share < recall]
 

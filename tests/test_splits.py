@@ -101,7 +101,7 @@ def test_odd_files_are_left_to_the_multi_line_reader(spark, tmp_path, body):
     path.write_bytes(f"{HEADER}\n{body}".encode())
     shape = _shape(spark, str(path))
     expected = sorted(tuple(r) for r in read_csv_text(spark, str(path)).collect())
-    got = read_catalog_csv(spark, str(path)).select("table_name", "column_name", "column_comment").collect()
+    got = read_catalog_csv(spark, str(path), split_bytes=0).select("table_name", "column_name", "column_comment").collect()
     assert sorted(tuple(r) for r in got) == [r for r in expected if r[0]] and shape in ("odd", "quoted")
 
 
@@ -117,7 +117,7 @@ def test_korean_breaks_and_several_files(spark, tmp_path, small_splits):
     assert {r.column_comment for r in rows if r.column_name == "이름7"} == {'첫 줄\n"둘째" 줄 7'}
     (folder / "d.csv").write_text('TABLE_NAME,COLUMN_NAME,OTHER\nX,Y,"a\nb"\n')
     with pytest.raises(ValueError, match="header"):
-        read_catalog_csv(spark, str(folder))
+        read_catalog_csv(spark, str(folder), split_bytes=0)
 
 
 def test_positions_are_the_same_for_any_split(spark, tmp_path, small_splits):

@@ -72,13 +72,14 @@ def _raw_lines(spark: SparkSession, paths: Sequence[str] | str) -> DataFrame:
     return spark.read.option("lineSep", "\n").text(paths).select(
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("block"),
+        F.col("_metadata.file_size").alias("size"),
         F.is_valid_utf8("value").alias("valid"),
         F.decode(bytes_, "ISO-8859-1").alias("line"),
     )
 
 
 def judged_files(spark: SparkSession, paths: Sequence[str] | str) -> DataFrame:
-    """One row per file: path, encoding (NULL for bytes of neither), and ``plain``: whether any line may end a split.
+    """One row per file: path, encoding (NULL for bytes of neither), size, and ``plain``: whether any line may end a split.
 
     One flag per file and task is all that is shuffled.
     """
@@ -89,6 +90,7 @@ def judged_files(spark: SparkSession, paths: Sequence[str] | str) -> DataFrame:
     whole = (simple | F.col("body").rlike(_well_formed(r"\r"))) & ~F.col("body").rlike(_BLANK)
     korean = F.when(F.bool_and(F.col("line").rlike(_KOREAN_BYTES)), KOREAN)
     return lines.groupBy("path").agg(
+        F.max("size").alias("size"),
         F.when(F.bool_and("valid"), UTF8).otherwise(korean).alias("encoding"),
         (F.bool_and(whole) & (F.bool_and("ends") | ~F.bool_or("ends"))).alias("plain"),
     )
@@ -106,7 +108,7 @@ def quoted_records(spark: SparkSession, paths: Sequence[str] | str) -> DataFrame
     return, which is not part of ``text``; the text has one character per byte. Sums run within a block of a
     file, and over the blocks of a file.
     """
-    lines = _raw_lines(spark, paths).drop("valid").withColumn("at", F.monotonically_increasing_id())
+    lines = _raw_lines(spark, paths).drop("valid", "size").withColumn("at", F.monotonically_increasing_id())
     lines = lines.withColumn("quotes", F.length("line") - F.length(F.replace("line", F.lit('"'), F.lit(""))))
     place = Window.partitionBy("path", "block").orderBy("at")
     behind = place.rowsBetween(Window.unboundedPreceding, -1)
@@ -217,10 +219,13 @@ def read_catalog_csv(
     paths: Sequence[str] | str,
     encoding: str | None = None,
     input_order: bool = False,
+    split_bytes: int | None = None,
 ) -> DataFrame:
     """Catalog records from CSV files; each is judged by one raw scan and parsed once.
 
-    Without ``encoding`` each file's own is found by that scan, too. The parsed rows are staged in the shared folder,
+    Without ``encoding`` each file's own is found by that scan, too. A file that is not plain, but no larger than
+    ``split_bytes`` (by default what a task of the session reads), goes to the multi-line reader, as one task would read
+    it anyway. The parsed rows are staged in the shared folder,
     so that what follows reads no CSV. The driver gets one path, encoding and shape per file, no more than the
     file listing it holds anyway.
     """
@@ -232,7 +237,9 @@ def read_catalog_csv(
     if unknown:
         raise ValueError(f"neither UTF-8 nor Korean, name the encoding: {', '.join(unknown)}")
     stage = shared_dir(spark, "csv-stage")
-    rest = sorted(f["path"] for f in files if not f["plain"])
+    if split_bytes is None:
+        split_bytes = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+    rest = sorted(f["path"] for f in files if not f["plain"] and f["size"] > split_bytes)
     records, formed = None, set()
     if rest:
         quoted_records(spark, rest).write.parquet(f"{stage}/records")

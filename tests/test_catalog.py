@@ -322,6 +322,34 @@ def test_one_folder_per_table(spark, tmp_path):
     assert glob(f"{path}/schema_name=MyDataset/table_name=S_ales/part-*")
 
 
+def test_lists_of_a_table_come_from_its_parts(spark):
+    """Columns far apart: keys and clusters stay in order, and no aggregate holds the entries of a whole table."""
+    place = (F.col("id") * 50_000).cast("string")
+    raw = spark.range(1, 31).select(
+        F.lit("S").alias("OWNER"), F.lit("T").alias("TABLE_NAME"), F.concat(F.lit("C"), "id").alias("COLUMN_NAME"),
+        place.alias("COLUMN_ID"), F.lit("DATE").alias("DATA_TYPE"), F.lit("Y").alias("IS_PRIMARY_KEY"),
+        F.when(F.col("id") % 2 == 0, "y").otherwise("N").alias("CLUSTER_YN"),
+    )
+    rows = ddl_lines(columns.type_columns(catalog_records(raw, numbered=True)))
+    lines = [r.line for r in rows.orderBy("section", "position", "tie").collect()]
+    assert f"  PRIMARY KEY ({', '.join(f'C{i}' for i in range(1, 17))}) NOT ENFORCED" in lines
+    assert f"CLUSTER BY {', '.join(f'C{i}' for i in range(2, 31, 2))}" in lines
+    assert [x.strip().split()[0] for x in lines[1:31]] == [f"C{i}" for i in range(1, 31)]
+    assert [x.endswith(",") for x in lines[1:31]] == [True] * 29 + [False]
+    assert "_part" in rows._jdf.queryExecution().optimizedPlan().toString()
+    top = ddl_lines(columns.type_columns(catalog_records(raw, numbered=True)), DdlOptions(max_cluster_columns=3))
+    assert "CLUSTER BY C2, C4, C6" in [r.line for r in top.collect()]
+
+
+def test_csv_files_are_of_bounded_size(spark, tmp_path):
+    """No written file needs more than one task to be read, whatever its fields hold."""
+    rows = spark.range(25).select(F.concat(F.lit("T"), "id").alias("TABLE_NAME"), F.lit("a\nb").alias("COLUMN_COMMENT"))
+    files.write_catalog_csv(rows.coalesce(1), str(tmp_path / "x"), rows_per_file=10)
+    assert len(glob(str(tmp_path / "x" / "*.csv"))) == 3
+    back = read_catalog_csv(spark, str(tmp_path / "x"))
+    assert sorted(r.table_name for r in back.collect()) == sorted(f"T{i}" for i in range(25))
+
+
 def test_extract_to_definitions(spark):
     unique = columns.dedupe(catalog_records(extract_catalog(_views(spark), "full", ordered=False)))
     assert unique.count() == 6

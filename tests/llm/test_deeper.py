@@ -257,3 +257,19 @@ def test_clean_documents_of_the_given_table_stay(spark, sf_dir):
     rows = quality.judge(docs, quality.learn(docs)).collect()
     assert all(r["kept"] for r in rows if labels.get(r["doc_id"]) == 1 and not r["base_failed"])
     assert np.isfinite([r["word_limit"] for r in rows]).all()
+
+
+def test_raw_deflated_run_longer_than_a_window(monkeypatch):
+    """Headerless data is inflated whatever the length of its run."""
+    import random
+
+    from tidegate.llm import secrets as scanner
+
+    monkeypatch.setattr(scanner, "WINDOW", 1 << 18)
+    letters = "".join(random.Random(5).choices("bcdghjklmnoqrtuvwxyz \n", k=700_000))
+    content = f"{letters[:600_000]} AKIA{'Q7' * 9} {letters[600_000:]}".encode()
+    deflater = zlib.compressobj(9, zlib.DEFLATED, -15)
+    run = base64.b64encode(deflater.compress(content) + deflater.flush()).decode()
+    assert len(run) > scanner.WINDOW
+    assert "AKIA" not in "".join(scanner._windows(scanner._decoded([run])))
+    assert any("AKIA" in text for text in scanner._content(run))

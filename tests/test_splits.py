@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tidegate.operators import columns, layout
 from tidegate.operators.spec import SourceColumn, resolve
 from tidegate.plans import queries
+from tidegate.plans import report as report_module
 from tidegate.plans.ddl import ddl_lines, table_ddl
 from tidegate.plans.report import Rule, broken_keys, migration_report
 from tidegate.sinks import files
@@ -230,6 +231,71 @@ def test_broken_keys_equal_single_audits(spark):
     assert {r.violations for r in broken_keys(frame.limit(0), rules).collect()} == {0}
 
 
+def test_report_counts_few_and_narrow_rows(spark, sf_dir):
+    report = queries.report(spark, sf_dir)
+    grouped = [line for line in report._jdf.queryExecution().executedPlan().toString().splitlines() if "HashAggregate(keys=[lead" in line]
+    # Two keys in a first step, and two within them in a second one: a count before and after either shuffle.
+    assert len(grouped) == 4
+    widths = [len(line.split("keys=[")[1].split("]")[0].split(", ")) for line in grouped]
+    assert sorted(widths) == [2, 2, 3, 3]
+
+
+def test_keys_within_keys(spark):
+    """Keys of other types, columns in other orders and NULLs are counted as by the single audits."""
+    from collections import Counter
+
+    rng = random.Random(7)
+
+    def pick(n):
+        return rng.choice([None, *range(n)])
+
+    rows = [(pick(5), pick(4), rng.choice([None, "x", "y"]), rng.choice([None, 0.0, -0.0, 1.5])) for _ in range(200)]
+    rows += [(100 + n, 1, "x", 2.0) for n in range(5)] + [(None, 2, None, 1.5)] * 3
+    frame = spark.createDataFrame(rows, "a long, b int, c string, d double")
+    pairs = spark.createDataFrame([(1, 2), (3, 0), (None, 1)], "b int, a short")
+    names = spark.createDataFrame([("x",), (None,)], "n string")
+    numbers = spark.createDataFrame([(1.0,), (2.5,)], "f double")
+    rules = [
+        Rule("unique", "d c a", ("d", "c", "a")),
+        Rule("foreign key", "b a", ("b", "a"), pairs, ("b", "a")),
+        Rule("foreign key", "a b", ("a", "b"), pairs.filter("b = 3"), ("a", "b")),
+        Rule("unique", "a", ("a",)),
+        Rule("unique", "c", ("c",)),
+        Rule("foreign key", "c", ("c",), names, ("n",)),
+        Rule("foreign key", "a as double", ("a",), numbers, ("f",)),
+        Rule("unique", "d", ("d",)),
+    ]
+
+    def twice(*places):
+        found = Counter(tuple(r[p] for p in places) for r in rows if None not in [r[p] for p in places])
+        return sum(n for n in found.values() if n > 1)
+
+    def lost(known, *places):
+        cells = [tuple(r[p] for p in places) for r in rows]
+        return sum(1 for c in cells if None not in c and c not in known)
+
+    expected = {
+        "d c a": twice(3, 2, 0), "b a": lost({(1, 2), (3, 0)}, 1, 0), "a b": lost({(0, 3)}, 0, 1), "a": twice(0),
+        "c": twice(2), "a as double": lost({(1,)}, 0), "d": twice(3),
+    }
+    every = Counter((a, b, c) for a, b, c, _ in rows)
+    primary = sum(n for k, n in every.items() if n > 1 or None in k)
+    for extra in ([], [Rule("primary key", "pk", ("b", "c", "a"))]):
+        got = [(r.check, r.subject, r.violations) for r in broken_keys(frame, [*rules, *extra]).collect()]
+        assert len(got) == len(rules) + len(extra)
+        single = {s: v for check, s, v in got if (check, s) != ("foreign key", "c")}
+        assert single == expected | ({"pk": primary} if extra else {})
+        assert ("foreign key", "c", lost({("x",)}, 2)) in got
+
+
+def test_many_parents_of_one_key(spark, monkeypatch):
+    monkeypatch.setattr(report_module, "PARENTS_PER_KEY", 2)
+    frame = spark.createDataFrame([(n % 4, n) for n in range(20)], "a int, b int")
+    rules = [Rule("foreign key", str(n), ("a",), spark.createDataFrame([(n,)], "x int"), ("x",)) for n in range(5)]
+    got = {r.subject: r.violations for r in broken_keys(frame, [*rules, Rule("primary key", "a, b", ("a", "b"))]).collect()}
+    assert got == {"0": 15, "1": 15, "2": 15, "3": 15, "4": 20, "a, b": 0}
+
+
 def test_report_without_keys(spark):
     frame = spark.createDataFrame([(1,), (None,)], "a int")
     report = migration_report(frame, resolve([SourceColumn("a", "NUMBER", "5", "0", nullable="N")])).collect()

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidegate.operators import audits
 from tidegate.operators.spec import TargetColumn
@@ -63,56 +65,185 @@ class Rule:
     parent_columns: tuple[str, ...] = ()
 
 
-def _keyed(df: DataFrame, sides: Sequence[tuple[int, Sequence[str]]], widths: Sequence[int], rows: Column) -> DataFrame:
-    """``rule``, one column per column of every rule's key, and ``rows``: a row of ``df`` for each rule of its sides.
+@dataclass
+class _Key:
+    """Columns that are counted once for all rules about them, in the types in which they meet their parents.
 
-    The columns of other rules are NULL. A row whose key has a NULL is there for the primary key only, rule 0 or none.
+    ``cells`` are the columns of a stream that hold them. ``source`` is the larger key whose counts it is counted from.
     """
-    rule = F.explode(F.array(*[F.lit(number) for number, _ in sides])).alias("rule")
-    needed = list(dict.fromkeys(c for _, columns in sides for c in columns))
-    each = df.select(*[F.col(f"`{c}`").alias(f"v{i}") for i, c in enumerate(needed)], rows.alias("rows"), rule)
+
+    columns: tuple[str, ...]
+    types: tuple[T.DataType, ...]
+    cells: tuple[str, ...]
+    parents: list[tuple[DataFrame, tuple[str, ...]]] = field(default_factory=list)
+    source: int | None = None
+
+    def values(self) -> list[Column]:
+        return [F.col(cell) for cell in self.cells]
+
+
+@dataclass(frozen=True)
+class _Side:
+    """Rows of a stream: where ``only`` holds, a row with these values of ``key``, or with none."""
+
+    number: int
+    only: Column
+    key: _Key | None = None
+    values: Sequence[Column] = ()
+
+
+# A parent is one bit of a bigint; further ones are met in a second count of the same columns.
+PARENTS_PER_KEY = 62
+# Types whose equal values have equal hashes.
+HASHED = (T.NumericType, T.BooleanType, T.BinaryType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
+def _key_types(df: DataFrame, rule: Rule) -> list[T.DataType]:
+    """The types of a rule's columns: widened as in a union with the parent's, integers to bigint."""
+    both = df.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(rule.columns)])
+    if rule.parent is not None:
+        both = both.union(rule.parent.select(*[F.col(f"`{c}`") for c in rule.parent_columns]))
+    return [T.LongType() if isinstance(f.dataType, T.IntegralType) else f.dataType for f in both.schema]
+
+
+def _gather(df: DataFrame, rules: Sequence[Rule]) -> tuple[list[_Key], list[tuple[Rule, int, int]]]:
+    """The keys of all rules, and every rule with its place among them and its parent's place there."""
+    keys: list[_Key] = []
+    placed = []
+    shared: dict[tuple[T.DataType, int], str] = {}
+    for rule in rules:
+        types = _key_types(df, rule)
+        # Integers come first, and of those the wider columns: they tell more keys apart than narrow ones.
+        other = [not isinstance(t, T.LongType) for t in types]
+        narrow = [not isinstance(df.schema[c].dataType, T.LongType) for c in rule.columns]
+        order = sorted(range(len(types)), key=lambda i: (other[i], narrow[i], rule.columns[i]))
+        columns, kinds = tuple(rule.columns[i] for i in order), tuple(types[i] for i in order)
+        same = (k for k, key in enumerate(keys) if (key.columns, key.types) == (columns, kinds))
+        at = next((k for k in same if rule.parent is None or len(keys[k].parents) < PARENTS_PER_KEY), len(keys))
+        if at == len(keys):
+            first = [] if other[order[0]] else ["lead"]
+            rest = kinds[len(first) :]
+            places = [(kind, rest[:i].count(kind)) for i, kind in enumerate(rest)]
+            cells = [shared.setdefault(place, f"c{len(shared)}") for place in places]
+            keys.append(_Key(columns, kinds, (*first, *cells)))
+        placed.append((rule, at, len(keys[at].parents)))
+        if rule.parent is not None:
+            keys[at].parents.append((rule.parent, tuple(rule.parent_columns[i] for i in order)))
+    for key in keys:
+        typed = set(zip(key.columns, key.types))
+        larger = [k for k, other in enumerate(keys) if typed < set(zip(other.columns, other.types))]
+        key.source = max(larger, key=lambda k: len(set(keys[k].columns)), default=None)
+    return keys, placed
+
+
+def _whole(values: Sequence[Column]) -> Column:
+    return reduce(lambda found, value: found & value.isNotNull(), values, F.lit(True))
+
+
+def _lead(key: _Key, values: Sequence[Column]) -> Column | None:
+    """What a stream is grouped by first where that is no value of the key: a hash."""
+    plain = all(isinstance(t, HASHED) or t == T.StringType() for t in key.types)
+    return F.xxhash64(*values) if plain and "lead" not in key.cells else None
+
+
+def _stream(df: DataFrame, sides: Sequence[_Side], cells: Sequence[str], rows: Column, parent: int = 0) -> DataFrame:
+    """``lead``, the ``cells``, ``key``, ``rows`` and ``parents``: a row of ``df`` for each side that wants it.
+
+    Cells of other keys are NULL.
+    """
+    numbers = [F.lit(side.number) for side in sides]
+    each = df.withColumn("side", F.explode(F.array(*numbers)) if len(sides) > 1 else numbers[0])
     kept = F.lit(False)
-    cells = {}
-    for number, columns in sides:
-        values = [F.col(f"v{needed.index(c)}") for c in columns]
-        whole = F.lit(True)
-        for place, value in enumerate(values):
-            whole = whole & value.isNotNull()
-            cells[f"k{number}_{place}"] = F.when(F.col("rule") == number, value)
-        kept = kept | ((F.col("rule") == number) & (whole if number else F.lit(True)))
-    absent = F.lit(None)
-    names = [f"k{number}_{place}" for number, width in enumerate(widths) for place in range(width)]
-    return each.filter(kept).select("rule", *[cells.get(name, absent).alias(name) for name in names], "rows")
+    shown: dict[str, Column] = {}
+    for side in sides:
+        here = F.col("side") == side.number
+        kept = kept | (here & side.only)
+        if side.key is not None:
+            held = dict(zip(side.key.cells, side.values, strict=True))
+            lead = _lead(side.key, side.values)
+            for cell, value in (held if lead is None else {"lead": lead, **held}).items():
+                shown[cell] = F.when(here, value).otherwise(shown.get(cell, F.lit(None)))
+    found = [shown.get(cell, F.lit(None)).alias(cell) for cell in ("lead", *cells)]
+    long_parent = F.lit(parent).cast("long").alias("parents")
+    return each.filter(kept).select(*found, F.col("side").alias("key"), rows.cast("long").alias("rows"), long_parent)
+
+
+def _table_stream(
+    df: DataFrame, sides: Sequence[tuple[int, _Key, Sequence[str], bool]], cells: Sequence[str], rows: int, parent: int = 0
+) -> DataFrame:
+    """The stream of the named columns of a table; the last field of a side keeps rows with a NULL in them."""
+    needed = list(dict.fromkeys(c for _, _, columns, _ in sides for c in columns))
+    lines = df.select(*[F.col(f"`{c}`").alias(f"v{i}") for i, c in enumerate(needed)])
+    found = []
+    for number, key, columns, nulls in sides:
+        held = [(F.col(f"v{needed.index(c)}"), df.schema[c].dataType, kind) for c, kind in zip(columns, key.types)]
+        values = [value if kind == wanted else value.cast(wanted) for value, kind, wanted in held]
+        found.append(_Side(number, F.lit(True) if nulls else _whole(values), key, values))
+    return _stream(lines, found, cells, F.lit(rows), parent)
+
+
+def _counted(stream: DataFrame, keys: Mapping[int, _Key], cells: Sequence[str]) -> DataFrame:
+    """Rows and parents of every key of ``stream``, which the parents' own streams join."""
+    for number, key in keys.items():
+        for bit, (parent, columns) in enumerate(key.parents):
+            stream = stream.unionByName(_table_stream(parent, [(number, key, columns, False)], cells, 0, 1 << bit))
+    found = [F.sum("rows").alias("rows")]
+    if any(key.parents for key in keys.values()):
+        found.append(F.bit_or("parents").alias("parents"))
+    return stream.groupBy("lead", *cells, "key").agg(*found)
+
+
+def _cells(keys: Mapping[int, _Key]) -> list[str]:
+    return list(dict.fromkeys(cell for key in keys.values() for cell in key.cells if cell != "lead"))
+
+
+def _broken(rule: Rule, key: _Key, bit: int) -> Column:
+    """Whether a counted key breaks the rule."""
+    whole = _whole(key.values())
+    if rule.check == "primary key":
+        return (F.col("rows") > 1) | ~whole
+    if rule.parent is None:
+        return (F.col("rows") > 1) & whole
+    return (F.col("parents").bitwiseAND(F.lit(1 << bit)) == 0) & whole
 
 
 def broken_keys(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """``check, subject, violations`` of keys and references: the rows of ``df`` under a broken one.
 
-    All rules are one stream of (rule, key) rows, from one scan of ``df`` and one of every parent, counted per task
-    before its only shuffle. A primary key is broken by a NULL or a second row, a unique key by a second row, a
-    foreign key by the lack of a parent row; child and parent meet as counts of one key. Types of both sides of a
+    All rules are one stream of (key, value) rows, from one scan of ``df`` and one of every parent, counted per task
+    before it is shuffled. Rules about the same columns are one key; a key whose columns are part of a larger key's is
+    counted in a second step, from the larger key's counts, and keys share columns of the same type: so that a task
+    has few and short rows to count. A primary key is broken by a NULL or a second row, a unique key by a second row,
+    a foreign key by the lack of a parent row; child and parents meet as counts of one key. Types of both sides of a
     reference are widened as in a union.
+
+    A task that has more keys than memory sorts them, by the first column that they are grouped by; so that one,
+    ``lead``, differs from key to key: an integer of the key, or a hash.
     """
-    # Rule 0 is the primary key, whose NULLs count; without one it stays empty.
-    primary = [r for r in rules if r.check == "primary key"]
-    others = [r for r in rules if r.check != "primary key"]
-    numbered = list(enumerate([*primary, *others], start=0 if primary else 1))
-    widths = [0] * (0 if primary else 1) + [len(r.columns) for _, r in numbered]
-    stream = _keyed(df, [(number, r.columns) for number, r in numbered], widths, F.lit(1).cast("long"))
-    for number, r in numbered:
-        if r.parent is not None:
-            stream = stream.unionByName(_keyed(r.parent, [(number, r.parent_columns)], widths, F.lit(0).cast("long")))
-    names = [c for c in stream.columns if c not in ("rule", "rows")]
-    counted = stream.groupBy("rule", *names).agg(F.sum("rows").alias("rows"), F.min("rows").alias("least"))
-    found = []
-    for number, r in numbered:
-        if r.parent is not None:  # a parent's rows count 0
-            broken = F.col("least") > 0
+    keys, placed = _gather(df, sorted(rules, key=lambda r: r.check != "primary key"))
+    outer = {k: key for k, key in enumerate(keys) if key.source is None}
+    inner = {k: key for k, key in enumerate(keys) if key.source is not None}
+    # Rows with a NULL in a key count for a primary key, and for the keys within it.
+    nulls = {k for rule, k, _ in placed if rule.check == "primary key"}
+    sides = [(k, key, key.columns, k in nulls or any(i.source == k for i in inner.values())) for k, key in outer.items()]
+    counted = _counted(_table_stream(df, sides, _cells(outer), 1), outer, _cells(outer))
+    lost = []
+    if inner:
+        steps = []
+        for k, key in inner.items():
+            values = dict(zip(keys[key.source].columns, keys[key.source].values()))
+            values = [values[c] for c in key.columns]
+            here = F.col("key") == key.source
+            steps.append(_Side(k, here if k in nulls else here & _whole(values), key, values))
+        for place, (rule, k, bit) in enumerate(placed):
+            if k in outer:  # what breaks a rule here only needs to be summed up
+                steps.append(_Side(-1 - place, (F.col("key") == k) & _broken(rule, keys[k], bit)))
+        counted = _counted(_stream(counted, steps, _cells(inner), F.col("rows")), inner, _cells(inner))
+    for place, (rule, k, bit) in enumerate(placed):
+        if inner and k in outer:
+            broken = F.col("key") == -1 - place
         else:
-            broken = F.col("rows") > 1
-            if not number:
-                for place in range(widths[0]):
-                    broken = broken | F.col(f"k0_{place}").isNull()
-        lost = F.when((F.col("rule") == number) & broken, F.col("rows"))
-        found.append({"check": r.check, "subject": r.subject, "violations": F.coalesce(F.sum(lost), F.lit(0))})
+            broken = (F.col("key") == k) & _broken(rule, keys[k], bit)
+        lost.append(F.coalesce(F.sum(F.when(broken, F.col("rows"))), F.lit(0)))
+    found = [{"check": r.check, "subject": r.subject, "violations": n} for (r, *_), n in zip(placed, lost)]
     return audits.count_tall(counted, found, "check string, subject string, violations long")

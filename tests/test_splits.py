@@ -278,9 +278,10 @@ def test_keys_within_keys(spark):
         "d c a": twice(3, 2, 0), "b a": lost({(1, 2), (3, 0)}, 1, 0), "a b": lost({(0, 3)}, 0, 1), "a": twice(0),
         "c": twice(2), "a as double": lost({(1,)}, 0), "d": twice(3),
     }
-    every = Counter((a, b, c) for a, b, c, _ in rows)
-    primary = sum(n for k, n in every.items() if n > 1 or None in k)
-    for extra in ([], [Rule("primary key", "pk", ("b", "c", "a"))]):
+    for places in ((), (1, 2, 0), (0,)):  # without a primary key, around other keys, and within one
+        every = Counter(tuple(r[p] for p in places) for r in rows)
+        primary = sum(n for k, n in every.items() if n > 1 or None in k)
+        extra = [Rule("primary key", "pk", tuple("abCd"[p] for p in places))] if places else []
         got = [(r.check, r.subject, r.violations) for r in broken_keys(frame, [*rules, *extra]).collect()]
         assert len(got) == len(rules) + len(extra)
         single = {s: v for check, s, v in got if (check, s) != ("foreign key", "c")}

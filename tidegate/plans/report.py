@@ -115,13 +115,14 @@ def _gather(df: DataFrame, rules: Sequence[Rule]) -> tuple[list[_Key], list[tupl
         types = _key_types(df, rule)
         # Integers come first, and of those the wider columns: they tell more keys apart than narrow ones.
         other = [not isinstance(t, T.LongType) for t in types]
-        narrow = [not isinstance(df.schema[c].dataType, T.LongType) for c in rule.columns]
+        held = df.select(*[F.col(f"`{c}`") for c in rule.columns]).schema
+        narrow = [not isinstance(f.dataType, T.LongType) for f in held]
         order = sorted(range(len(types)), key=lambda i: (other[i], narrow[i], rule.columns[i]))
         columns, kinds = tuple(rule.columns[i] for i in order), tuple(types[i] for i in order)
         same = (k for k, key in enumerate(keys) if (key.columns, key.types) == (columns, kinds))
         at = next((k for k in same if rule.parent is None or len(keys[k].parents) < PARENTS_PER_KEY), len(keys))
         if at == len(keys):
-            first = [] if other[order[0]] else ["lead"]
+            first = ["lead"] if kinds and not other[order[0]] else []
             rest = kinds[len(first) :]
             places = [(kind, rest[:i].count(kind)) for i, kind in enumerate(rest)]
             cells = [shared.setdefault(place, f"c{len(shared)}") for place in places]
@@ -143,7 +144,7 @@ def _whole(values: Sequence[Column]) -> Column:
 def _lead(key: _Key, values: Sequence[Column]) -> Column | None:
     """What a stream is grouped by first where that is no value of the key: a hash."""
     plain = all(isinstance(t, HASHED) or t == T.StringType() for t in key.types)
-    return F.xxhash64(*values) if plain and "lead" not in key.cells else None
+    return F.xxhash64(*values) if values and plain and "lead" not in key.cells else None
 
 
 def _stream(df: DataFrame, sides: Sequence[_Side], cells: Sequence[str], rows: Column, parent: int = 0) -> DataFrame:
@@ -176,7 +177,8 @@ def _table_stream(
     lines = df.select(*[F.col(f"`{c}`").alias(f"v{i}") for i, c in enumerate(needed)])
     found = []
     for number, key, columns, nulls in sides:
-        held = [(F.col(f"v{needed.index(c)}"), df.schema[c].dataType, kind) for c, kind in zip(columns, key.types)]
+        names = [f"v{needed.index(c)}" for c in columns]
+        held = [(F.col(v), lines.schema[v].dataType, kind) for v, kind in zip(names, key.types)]
         values = [value if kind == wanted else value.cast(wanted) for value, kind, wanted in held]
         found.append(_Side(number, F.lit(True) if nulls else _whole(values), key, values))
     return _stream(lines, found, cells, F.lit(rows), parent)

@@ -1,5 +1,6 @@
 """CSV intake, extract, grouping and definitions on small hand-written catalogs."""
 
+import re
 from datetime import datetime
 from glob import glob
 
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from tidegate.operators import columns
 from tidegate.operators.positions import dense_positions
 from tidegate.operators.spec import table_spec
+from tidegate.plans import sample_catalogs
 from tidegate.plans.ddl import DdlOptions, ddl_lines, table_ddl
 from tidegate.plans.extract import extract_catalog
 from tidegate.sinks import files
@@ -160,6 +162,22 @@ def test_extract_broadcasts_no_view(spark):
         assert "Broadcast" not in rows._jdf.queryExecution().executedPlan().toString()
 
 
+def test_extract_moves_what_it_read(spark, sf_dir):
+    """What can be told from other fields is added behind the sort; rows stay where the table comments met them."""
+    orders, lineitem = (spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in ("orders", "lineitem"))
+    rows = extract_catalog(sample_catalogs.dictionary_views(orders, lineitem), "full")
+    above, below = rows._jdf.queryExecution().executedPlan().toString().split("Exchange rangepartitioning", 1)
+    assert "AS FK_CONSTRAINT_TYPE" in above
+    assert not re.findall(r"AS (?:[FUC]K_CONSTRAINT_TYPE|PK_TYPE|IS_PRIMARY_KEY|CLUSTER_YN)", below)
+    assert len(re.findall(r"Exchange hashpartitioning\(TABLE_NAME#\d+, OWNER#\d+,", below)) == 3  # columns and two views
+
+
+def test_constraint_types_stand_beside_names(spark):
+    for row in extract_catalog(_views(spark), "full").collect():
+        for kind, field in (("R", "FK"), ("U", "UK"), ("C", "CK")):
+            assert row[f"{field}_CONSTRAINT_TYPE"] == (None if row[f"{field}_CONSTRAINT_NAME"] is None else kind)
+
+
 def test_extract_variants(spark):
     views = _views(spark)
     simple = extract_catalog(views, "simple", owners=["A", "B"]).collect()
